@@ -1,0 +1 @@
+"""Deliberately empty: every stage of this engine is a batch full refresh."""
