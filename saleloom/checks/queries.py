@@ -46,7 +46,7 @@ def _digits(columns, n: int) -> dict[str, int]:
     return {c: n for c in columns}
 
 
-KPI_DIGITS = {**_digits(kpi.MEASURES, 4), **_digits(("margin", "discount_rate", "return_rate"), 8), "avg_order_value": 6}
+KPI_DIGITS = {**_digits(kpi.MEASURES, 4), **_digits(("margin", "discount_rate", "return_rate"), 8)}
 
 
 # Sources and set operations
@@ -153,8 +153,7 @@ def cost_latest(spark, folder):
 @query
 def cost_enrichment(spark, folder):
     columns = ("doc_no", "product_code", "quantity", "net_revenue", "std_name", "list_price", "unit_cost", "total_cost")
-    enriched = _current(spark, folder).select(*columns, "profit", "profit_recomputed", "has_cost", "returned")
-    return rounded(enriched, **_digits(("net_revenue", "total_cost", "profit", "profit_recomputed"), 4))
+    return _current(spark, folder).select(*columns, "profit", "profit_recomputed", "has_cost", "returned")
 
 
 @query
@@ -165,16 +164,13 @@ def cost_match_rate(spark, folder):
 @query
 def unified_sales(spark, folder):
     """All 38 columns of the unified table, duplicate flags included."""
-    sales = unify_sales(_historical(spark, folder, True), _current(spark, folder, True))
-    money = ("unit_price", "discount", "net_revenue", "unit_cost", "total_cost", "profit", "profit_recomputed", "avg_row_value")
-    return rounded(sales, **_digits(money, 4), **_digits(("margin", "discount_rate", "return_rate"), 8))
+    return unify_sales(_historical(spark, folder, True), _current(spark, folder, True))
 
 
 @query
 def row_ratios(spark, folder):
     columns = ["doc_no", "product_code", "margin", "discount_rate", "return_rate", "unit_cost", "avg_row_value"]
-    view = tables.sales_view(spark, folder, columns)
-    return rounded(view, margin=8, discount_rate=8, return_rate=8, unit_cost=6, avg_row_value=4)
+    return tables.sales_view(spark, folder, columns)
 
 
 @query
@@ -193,7 +189,7 @@ def order_value_labels(spark, folder):
     labelled = outliers.log_revenue(view).select(
         "doc_no", "product_code", "log_revenue", "outlier_state", (F.col("net_revenue") / reports.BILLION).alias("net_revenue_bn")
     )
-    return rounded(labelled, log_revenue=8, net_revenue_bn=12)
+    return rounded(labelled, log_revenue=8)
 
 
 # Data quality
@@ -312,9 +308,7 @@ def dim_channel(spark, folder):
 def fact_sales(spark, folder):
     columns = set(star.FACT_COLUMNS) - {"sales_id", "date_key", "customer_key", "product_key", "channel_key"}
     view = tables.sales_view(spark, folder, [*sorted(columns), *[c for c in STAR_COLUMNS if c not in columns]])
-    fact = star.fact_sales(view, star.dim_customer(view), star.dim_product(view), star.dim_channel(view), ID_ORDER)
-    money = ("unit_price", "discount", "net_revenue", "unit_cost", "total_cost", "profit")
-    return rounded(fact, **_digits(money, 4), **_digits(("margin", "discount_rate", "return_rate"), 8))
+    return star.fact_sales(view, star.dim_customer(view), star.dim_product(view), star.dim_channel(view), ID_ORDER)
 
 
 # Marts
@@ -357,7 +351,7 @@ def marts_one_pass(spark, folder):
 def ytd_kpi_yoy(spark, folder):
     view = tables.sales_view(spark, folder, ["year", "doc_date", *kpi.COUNTS.values(), "net_revenue", "profit"])
     digits = {**_digits(("net_revenue", "profit"), 4), **_digits(("net_revenue_bn", "profit_bn", "margin"), 8)}
-    return rounded(reports.ytd_kpi(view), **digits, net_revenue_yoy=8, profit_yoy=8, avg_order_value=6)
+    return rounded(reports.ytd_kpi(view), **digits, net_revenue_yoy=8, profit_yoy=8)
 
 
 @query
@@ -462,7 +456,7 @@ def monthly_base(spark, folder):
 @query
 def monthly_features(spark, folder):
     features = fc.monthly_features(_monthly(spark, folder)[1], FORECAST_KEYS)
-    return rounded(features, net_revenue=4, trailing_mean=4, **{f"lag_{n}": 4 for n in fc.LAGS})
+    return rounded(features, net_revenue=4, trailing_mean=5, **{f"lag_{n}": 4 for n in fc.LAGS})
 
 
 def _backtest(spark, folder):
