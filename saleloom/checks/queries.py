@@ -16,6 +16,7 @@ from saleloom.functions.text import clean_text, map_labels, match_key
 from saleloom.operators import forecast as fc
 from saleloom.operators import kpi, outliers, quality, reports, star
 from saleloom.operators.dedup import flag_duplicates
+from saleloom.operators.work import freeze
 from saleloom.plans.cleaning import clean_cost, clean_current, clean_historical
 from saleloom.plans.marts import pareto_mart
 from saleloom.plans.unify import align_current, align_historical, fill_labels, unify_sales
@@ -211,7 +212,9 @@ def duplicate_flag_count(spark, folder):
 
 
 def _stage_tables(spark, folder):
-    historical, current = _historical(spark, folder, True), _current(spark, folder, True)
+    """The tables of the cleaning stage; the clean ones are written once, as the stage does."""
+    historical = freeze(_historical(spark, folder, True), "historical")
+    current = freeze(_current(spark, folder, True), "current")
     return {
         "raw_sales_historical": tables.raw_historical(spark, folder),
         "raw_sales_current": tables.raw_current(spark, folder),
@@ -308,6 +311,8 @@ def dim_channel(spark, folder):
 def fact_sales(spark, folder):
     columns = set(star.FACT_COLUMNS) - {"sales_id", "date_key", "customer_key", "product_key", "channel_key"}
     view = tables.sales_view(spark, folder, [*sorted(columns), *[c for c in STAR_COLUMNS if c not in columns]])
+    # The sales table is stored between the stages; each dimension then reads only its own columns.
+    view = freeze(view, "sales")
     return star.fact_sales(view, star.dim_customer(view), star.dim_product(view), star.dim_channel(view), ID_ORDER)
 
 

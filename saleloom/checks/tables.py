@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from saleloom import schemas, vocab
 from saleloom.plans.unify import derive_measures
+from saleloom.sources.readers import spread_small
 
 # Which columns of the typed view need which join.
 VIEW = {
@@ -164,9 +165,11 @@ def _needed(sql: Iterable[str]) -> list[str]:
     return [t for t in JOINS if t in wanted]
 
 
-def _lines(spark: SparkSession, folder: str, sql: Iterable[str]) -> DataFrame:
+def _lines(spark: SparkSession, folder: str, sql: Iterable[str], spread: bool = False) -> DataFrame:
     """Line items joined to just the tables that the select list mentions."""
     lines = read(spark, folder, "lineitem")
+    if spread:
+        lines = spread_small(lines, f"{folder}/lineitem.parquet")
     for table in _needed(sql):
         left, right = JOINS[table][1].split(" = ")
         other = read(spark, folder, table)
@@ -196,14 +199,14 @@ def _twice(lines: DataFrame) -> DataFrame:
 def raw_historical(spark: SparkSession, folder: str, columns: Iterable[str] | None = None) -> DataFrame:
     names = list(columns or schemas.columns(schemas.HISTORICAL))
     sql = [f"{RAW_HISTORICAL[c]} AS {c}" for c in names]
-    lines = _lines(spark, folder, [*sql, HISTORY]).where(HISTORY)
+    lines = _lines(spark, folder, [*sql, HISTORY], spread=True).where(HISTORY)
     return _twice(lines).selectExpr(*sql)
 
 
 def raw_current(spark: SparkSession, folder: str, columns: Iterable[str] | None = None) -> DataFrame:
     names = list(columns or schemas.columns(schemas.CURRENT))
     sql = [f"{RAW_CURRENT[c]} AS {c}" for c in names]
-    lines = _lines(spark, folder, [*sql, HISTORY]).where(f"NOT ({HISTORY})")
+    lines = _lines(spark, folder, [*sql, HISTORY], spread=True).where(f"NOT ({HISTORY})")
     return _twice(lines).selectExpr(*sql)
 
 

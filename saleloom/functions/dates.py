@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -13,11 +14,29 @@ from saleloom import vocab
 DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "dd/MM/yyyy", "yyyy-MM-dd'T'HH:mm:ss")
 
 
+def _shape(date_format: str) -> str | None:
+    """Regular expression of the texts that could fit a purely numeric format, else None."""
+    parts = re.findall(r"'([^']*)'|([yMdHms]+)|([A-Za-z]+)|([^A-Za-z']+)", date_format)
+    if any(letters or len(field) > 2 and field[0] != "y" for _, field, letters, _ in parts):
+        return None
+    digits = {1: r"\d{1,2}"}
+    return "^" + "".join(
+        digits.get(len(field), rf"\d{{{len(field)}}}") if field else re.escape(quoted or other)
+        for quoted, field, _, other in parts
+    ) + "$"
+
+
+def _parsed(text: Column, date_format: str) -> Column:
+    # A failed parse throws inside the JVM, which costs far more than looking at the text first.
+    parsed, shape = F.try_to_timestamp(text, F.lit(date_format)), _shape(date_format)
+    return F.when(text.rlike(shape), parsed) if shape else parsed
+
+
 def parse_date(value: Column, dtype: T.DataType | None = None, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Timestamp from the first format that fits, else NULL. Date and timestamp columns pass."""
     if dtype is None or isinstance(dtype, T.StringType):
         text = F.trim(value)
-        return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+        return F.coalesce(*[_parsed(text, f) for f in formats])
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return value.cast("timestamp")
     # Bare numbers are no dates; guessing an epoch unit would invent data.

@@ -17,6 +17,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or of all files below a folder."""
+    hadoop, fs = _path(spark, path)
+    return fs.getContentSummary(hadoop).getLength()
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names in a directory, sorted; empty if it does not exist."""
     hadoop, fs = _path(spark, path)

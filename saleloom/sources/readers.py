@@ -13,7 +13,9 @@ from saleloom import schemas
 from saleloom.functions.text import clean_text
 from saleloom.operators.columns import existing, normalize_columns
 from saleloom.plans.cleaning import ROW_ORDER
-from saleloom.sources.files import exists
+from saleloom.sources.files import exists, size
+
+SMALL_BYTES_PER_CORE = 16 * 1024 * 1024
 
 
 def read_table(
@@ -45,6 +47,17 @@ def read_table(
     return df.select("*", order.alias(ROW_ORDER))
 
 
+def spread_small(df: DataFrame, path: str) -> DataFrame:
+    """Spread the rows of a small input over all cores before costly work per row.
+
+    One row group is read by one task, whatever the number of cores. An input with enough bytes for every
+    core is left as it is: its files and row groups already make enough tasks.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if size(spark, path) < SMALL_BYTES_PER_CORE * cores else df
+
+
 def union_tagged(parts: Mapping[str, DataFrame], tag: str = "source_sheet") -> DataFrame:
     """Stack tables by column name, columns missing on one side NULL, and name the part of each row."""
     tagged = [df.withColumn(tag, F.lit(name)) for name, df in parts.items()]
@@ -55,12 +68,15 @@ def load_historical(
     spark: SparkSession, partitions: Mapping[str, str], fmt: str = "parquet", **options: str
 ) -> DataFrame:
     """Historical sales from several partitions (name -> path), e.g. one per year."""
-    parts = {name: _named(read_table(spark, path, fmt, **options), schemas.HISTORICAL) for name, path in partitions.items()}
+    parts = {
+        name: _named(spread_small(read_table(spark, path, fmt, **options), path), schemas.HISTORICAL)
+        for name, path in partitions.items()
+    }
     return union_tagged(parts)
 
 
 def load_current(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
-    return _named(read_table(spark, path, fmt, **options), schemas.CURRENT)
+    return _named(spread_small(read_table(spark, path, fmt, **options), path), schemas.CURRENT)
 
 
 def load_cost(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
