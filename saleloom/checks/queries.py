@@ -310,7 +310,8 @@ def dim_channel(spark, folder):
 @query
 def fact_sales(spark, folder):
     columns = set(star.FACT_COLUMNS) - {"sales_id", "date_key", "customer_key", "product_key", "channel_key"}
-    view = tables.sales_view(spark, folder, [*sorted(columns), *[c for c in STAR_COLUMNS if c not in columns]])
+    wanted = [*sorted(columns), *[c for c in STAR_COLUMNS if c not in columns]]
+    view = tables.sales_view(spark, folder, wanted, spread=True)
     # The sales table is stored between the stages; each dimension then reads only its own columns.
     view = freeze(view, "sales")
     return star.fact_sales(view, star.dim_customer(view), star.dim_product(view), star.dim_channel(view), ID_ORDER)
@@ -397,7 +398,8 @@ def monthly_trend(spark, folder):
 
 
 def _outlier_view(spark, folder, *more):
-    return tables.sales_view(spark, folder, ["doc_date", *outliers.METRICS, *more])
+    """Stored like the sales table of the stages: quartiles and flags read it one after the other."""
+    return freeze(tables.sales_view(spark, folder, ["doc_date", *outliers.METRICS, *more], spread=True), "sales")
 
 
 SUMMARY_DIGITS = {**_digits(("q1", "q3", "iqr", "lower_bound", "upper_bound"), 6), "outlier_rate": 8}
@@ -430,7 +432,7 @@ def outlier_by_group(spark, folder):
 
 
 def _flagged_revenue(spark, folder):
-    view = tables.sales_view(spark, folder, ["net_revenue", "product_group"])
+    view = freeze(tables.sales_view(spark, folder, ["net_revenue", "product_group"], spread=True), "sales")
     return outliers.flag_outliers(view, ["net_revenue"])
 
 

@@ -177,8 +177,11 @@ def _lines(spark: SparkSession, folder: str, sql: Iterable[str], spread: bool =
     return lines
 
 
-def sales_view(spark: SparkSession, folder: str, columns: Iterable[str]) -> DataFrame:
-    """The typed sales table with the wanted columns; only the joins they need are planned."""
+def sales_view(spark: SparkSession, folder: str, columns: Iterable[str], spread: bool = False) -> DataFrame:
+    """The typed sales table with the wanted columns; only the joins they need are planned.
+
+    ``spread`` distributes a small input over all cores, for queries with much work per row.
+    """
     wanted = list(columns)
     derived = {"margin", "discount_rate", "return_rate", "avg_row_value", "profit_recomputed"}
     costs = {"unit_cost", "total_cost"}
@@ -186,7 +189,7 @@ def sales_view(spark: SparkSession, folder: str, columns: Iterable[str]) -> Data
     if derived.intersection(wanted) or costs.intersection(wanted):
         base = [c for c in VIEW if c in wanted or c in DERIVED_FROM]
     sql = [f"{VIEW[c]} AS {c}" for c in base]
-    view = _lines(spark, folder, sql).selectExpr(*sql)
+    view = _lines(spark, folder, sql, spread).selectExpr(*sql)
     if len(base) != len(wanted) or costs.intersection(wanted):
         view = derive_measures(view)
     return view.select(*wanted)

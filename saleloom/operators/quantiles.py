@@ -13,7 +13,7 @@ from saleloom.operators.keys import partition_of, running_offsets
 from saleloom.operators.work import freeze
 
 # Up to this many rows the built-in aggregate is used; it buffers the distinct values of a group.
-SMALL_ROWS = 5_000_000
+SMALL_ROWS = 1_000_000
 ACCURACY = 1_000
 
 
