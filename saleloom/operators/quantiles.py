@@ -26,6 +26,7 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per group: for every column an array of its quantiles, NULL if it has no finite value.
 
+    The result is computed here and stored, since callers read it several times.
     Above ``small_rows`` rows the answer comes from distributed passes. A sketch brackets each quantile;
     only values inside the bracket, about 0.4 % of the rows, are counted, range-sorted and ranked. The
     ranks are checked afterwards, so a bracket that missed its target is replaced by the whole range.
@@ -34,7 +35,8 @@ def exact_quantiles(
     narrow = df.select(*by, *[v.alias(c) for c, v in values.items()])
     if narrow.count() <= small_rows:
         wanted = F.array(*[F.lit(p) for p in probabilities])
-        return narrow.groupBy(*by).agg(*[F.percentile(F.col(f"`{c}`"), wanted).alias(c) for c in columns])
+        small = narrow.groupBy(*by).agg(*[F.percentile(F.col(f"`{c}`"), wanted).alias(c) for c in columns])
+        return freeze(small, "quantiles")
     return _distributed(narrow, list(columns), list(probabilities), by)
 
 
