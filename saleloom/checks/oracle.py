@@ -458,7 +458,7 @@ def _bounds(metrics, factor: float, by: str = "") -> str:
 
 _LIMITS = [f"{m}_{x}" for m in outliers.METRICS for x in ("q1", "q3", "iqr", "low", "high")]
 ORACLE["outlier_thresholds"] = f"""
-    WITH {VIEW}, b AS ({_bounds(outliers.METRICS, 3.0)}) SELECT {", ".join(rnd(c, 6) for c in _LIMITS)} FROM b"""
+    WITH {VIEW}, b AS ({_bounds(outliers.METRICS, 3.0)}) SELECT {", ".join(rnd(c, 8) for c in _LIMITS)} FROM b"""
 
 
 def _flag(m: str) -> str:
@@ -484,7 +484,7 @@ def _summary(factor: float, by: str = "") -> str:
     rows = []
     for m in outliers.METRICS:
         figures = {"q1": f"{m}_q1", "q3": f"{m}_q3", "iqr": f"{m}_iqr", "lower_bound": f"{m}_low", "upper_bound": f"{m}_high"}
-        limits = ", ".join(rnd(f"any_value({sql})", 6, n) for n, sql in figures.items())
+        limits = ", ".join(rnd(f"any_value({sql})", 8, n) for n, sql in figures.items())
         rows.append(
             f"""SELECT '{m}' AS metric, {name} AS group_name, count(*) AS total_rows, count({m}) AS valid_rows, {limits},
             count(*) FILTER (WHERE {_flag(m)}) AS outlier_rows,

@@ -402,13 +402,14 @@ def _outlier_view(spark, folder, *more):
     return freeze(tables.sales_view(spark, folder, ["doc_date", *outliers.METRICS, *more], spread=True), "sales")
 
 
-SUMMARY_DIGITS = {**_digits(("q1", "q3", "iqr", "lower_bound", "upper_bound"), 6), "outlier_rate": 8}
+# Eight digits: bounds of values with few decimals end after seven, so that none lies on a rounding tie.
+SUMMARY_DIGITS = _digits(("q1", "q3", "iqr", "lower_bound", "upper_bound", "outlier_rate"), 8)
 
 
 @query
 def outlier_thresholds(spark, folder):
     limits = outliers.bounds(_outlier_view(spark, folder), factor=outliers.REPORT_FACTOR)
-    return rounded(limits, **_digits(limits.columns, 6))
+    return rounded(limits, **_digits(limits.columns, 8))
 
 
 @query
