@@ -20,7 +20,7 @@ from saleloom.operators.work import freeze
 from saleloom.plans.cleaning import clean_cost, clean_current, clean_historical
 from saleloom.plans.marts import pareto_mart
 from saleloom.plans.unify import align_current, align_historical, fill_labels, unify_sales
-from saleloom.sources.readers import union_tagged
+from saleloom.sources.readers import spread_small, union_tagged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,9 +69,13 @@ def source_union_tagged(spark, folder):
 # Text, number and date functions
 
 
+def _documents(spark, folder):
+    return spread_small(tables.read(spark, folder, "documents"), f"{folder}/documents.parquet")
+
+
 @query
 def clean_text_documents(spark, folder):
-    docs = tables.read(spark, folder, "documents")
+    docs = _documents(spark, folder)
     padded = F.concat(F.lit("  "), F.regexp_replace("text", " ", "   "), F.lit("\n"))
     lang = F.when(F.col("lang") == "de", "nan").otherwise(F.concat(F.lit(" "), "lang"))
     return docs.select("doc_id", clean_text(padded).alias("text"), clean_text(lang).alias("lang"))
@@ -79,7 +83,7 @@ def clean_text_documents(spark, folder):
 
 @query
 def accent_key(spark, folder):
-    docs = tables.read(spark, folder, "documents")
+    docs = _documents(spark, folder)
     return docs.select("doc_id", match_key(F.concat(F.lit(" Đồ  uống đặc biệt "), "text")).alias("key"))
 
 
