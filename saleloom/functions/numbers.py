@@ -42,7 +42,7 @@ def stable_sum(value: Column, scale: int = SUM_SCALE) -> Column:
     """Sum of a DOUBLE column that does not depend on row or task order.
 
     Every value is rounded to ``10**-scale`` and summed as an integer, kept in two longs so that the
-    sum cannot overflow. This runs at the speed of a plain double sum, unlike DECIMAL. Values beyond
+    sum cannot overflow. It stays in generated code on primitives, unlike DECIMAL. Values beyond
     the grid (very large or infinite) are summed as doubles and added. NaN and NULL are skipped; the
     sum of no value is 0.
     """
