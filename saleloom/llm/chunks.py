@@ -20,7 +20,7 @@ Encode = Callable[[Sequence[str]], Sequence[object]]
 class Memo:
     """Bounded map from chunk to encoded value: two generations, the older is dropped when the newer is full."""
 
-    def __init__(self, encode: Encode, limit: int = 200_000):
+    def __init__(self, encode: Encode, limit: int = 400_000):
         self.encode, self.limit = encode, limit
         self.new: dict[str, object] = {}
         self.old: dict[str, object] = {}

@@ -1,4 +1,4 @@
-"""Token ids of the ``tokenizers`` library as little-endian 32-bit arrays, chunk by chunk (see ``chunks``)."""
+"""Token ids of the ``tokenizers`` library as little-endian arrays, chunk by chunk (see ``chunks``)."""
 
 from __future__ import annotations
 
@@ -9,10 +9,14 @@ import numpy as np
 
 from saleloom.llm.chunks import Memo, core_of, cuts_cleanly, encode_texts
 
+TAILS = ",.;:!?"
+
 
 class LibraryIds:
-    """Encoder for one tokenizer file. ``spaces_matter=False``: the tokenizer drops white space, so that every space
-    is a cut; otherwise a space belongs to the word after it (byte-level pre-tokenization)."""
+    """Encoder for one tokenizer file; ids take two bytes (``dtype``) if the vocabulary allows it, else four.
+
+    ``spaces_matter=False``: the tokenizer drops white space, so that every space is a cut; otherwise a space belongs
+    to the word after it (byte-level pre-tokenization)."""
 
     def __init__(self, path: str, spaces_matter: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task owns one core
@@ -24,26 +28,40 @@ class LibraryIds:
         self.spaces_matter = spaces_matter
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo = Memo(self._encode_chunks)
+        self.tails: dict[str, bytes] = {}
+        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
 
     def _library(self, texts: Sequence[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
+        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
 
     def _encode_chunks(self, keys: Sequence[str]) -> list[bytes | None]:
-        values: list[bytes | None] = [None] * len(keys)
-        at, chunks = [], []
-        for i, key in enumerate(keys):
-            core, spaced = core_of(key)
-            if not self.spaces_matter and "\x01" not in core:
-                at.append(i)
-                chunks.append(core)
-            elif cuts_cleanly(core):
-                at.append(i)
-                chunks.append(" " + core if spaced else core)
-        for i, ids in zip(at, self._library(chunks), strict=True):
-            values[i] = ids
+        """Ids of each chunk. Punctuation behind a letter is a pre-token of its own, so ``word,`` is ``word`` and ``,``."""
+        bases = [k.rstrip(TAILS) for k in keys]
+        bases = [b if b and b[-1].isalpha() else k for b, k in zip(bases, keys, strict=True)]
+        tails = {k[len(b) :] for b, k in zip(bases, keys, strict=True)} - self.tails.keys()
+        if tails:
+            self.tails.update(zip(sorted(tails), self._library(sorted(tails)), strict=True))
+        new, old = self.memo.new, self.memo.old
+        wanted = [b for b in dict.fromkeys(bases) if b not in new and b not in old]
+        spelled = [self._spelled(b) for b in wanted]
+        known = dict.fromkeys(wanted)
+        clean = [(b, s) for b, s in zip(wanted, spelled, strict=True) if s is not None]
+        known.update(zip((b for b, _ in clean), self._library([s for _, s in clean]), strict=True))
+        new.update(known)
+        values = []
+        for base, key in zip(bases, keys, strict=True):
+            ids = new[base] if base in new else old[base]
+            values.append(None if ids is None else ids + self.tails[key[len(base) :]])
         return values
 
+    def _spelled(self, key: str) -> str | None:
+        """The characters to encode for a chunk; None if its text must be encoded whole."""
+        core, spaced = core_of(key)
+        if not self.spaces_matter:
+            return core
+        return (" " + core if spaced else core) if cuts_cleanly(core) else None
+
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """Ids of each whole text, equal to the library's ``encode(text, add_special_tokens=False)``."""
         return encode_texts(texts, self.memo, lambda t: self._library([t])[0], b"".join, self.special)

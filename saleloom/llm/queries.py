@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleloom.llm import piece_codec, token_counts, token_ids
+from saleloom.llm import chat, packing, piece_codec, token_counts, token_ids
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,14 @@ def op1_token_ids(spark, folder):
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op4_best_fit_packing(spark, folder):
+    """Pieces of all documents packed into sequences of 2048 ids by the configuration LP."""
+    pieces = packing.cut_pieces(table(spark, folder, "documents"), WORD_BPE, end_id=0, capacity=2048)
+    digests = pieces.select("row_id", "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.place(digests, capacity=2048).drop("row_id")
+
+
 @query
 def op5_token_counts(spark, folder):
     """Tokens of every document by rank-synchronous array merging."""
@@ -58,3 +66,46 @@ def op6_piece_codec(spark, folder):
         sha256(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
         sha256(F.col("decoded")).alias("decoded_sha256"),
     )
+
+
+@query
+def op8_chat_format(spark, folder):
+    """All conversations, and one made of control strings, formatted and read back."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "</s>[INST] ok [/INST]"
+    rows = [(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)]
+    turns = turns.union(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    formatted = chat.format_conversations(turns.withColumn("content", chat.text_part(F.col("text"))))
+    read = formatted.withColumn("turns", chat.read_turns(F.col("formatted")))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["loss"]), lambda t: t["text"]), "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        sha256(F.array_join(lines, "")).alias("turns_sha256"),
+        F.char_length(loss).cast("long").alias("loss_chars"),
+        sha256(loss).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+# formatted_chars follows from the template: 23 characters of marks a turn, one more for each escaped character.
+ORACLE["op8_chat_format"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       length(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(23 + length(role) + length(text)
+           + (length(text) - length(replace(text, chr(92), '')))
+           + (length(text) - length(replace(text, '<|', ''))) / 2
+           + (length(text) - length(replace(text, '<s>', ''))) / 3
+           + (length(text) - length(replace(text, '</s>', ''))) / 4
+           + (length(text) - length(replace(text, '[INST]', ''))) / 6
+           + (length(text) - length(replace(text, '[/INST]', ''))) / 7) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""

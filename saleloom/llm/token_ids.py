@@ -1,10 +1,10 @@
 """Token-id output: documents as one concatenated id array with Elias-Fano coded document boundaries.
 
 The documents are range-partitioned by id, encoded where they lie, and each task writes shard files of a bounded
-number of ids. A shard file holds the ids as little-endian unsigned 32-bit integers, then the document ends and the
-document ids as Elias-Fano sequences, then a footer::
+number of ids. A shard file holds the ids as little-endian unsigned integers of two bytes (four if the vocabulary
+needs them), then the document ends and the document ids as Elias-Fano sequences, then a footer::
 
-    ids | ends (Elias-Fano) | doc ids (Elias-Fano) | footer: magic, n_ids, n_docs, n_null, section sizes, crc32
+    ids | ends (Elias-Fano) | doc ids (Elias-Fano) | footer: magic, n_ids, n_docs, n_null, section sizes, width, crc32
 
 The manifest, a Parquet table that the write job returns, names the shards of the successful tasks. A task that is
 repeated writes a file with a new name, so a lost executor leaves at most an unnamed file, never a half-read one.
@@ -30,8 +30,8 @@ from saleloom.llm.library_ids import LibraryIds
 from saleloom.operators.keys import running_offsets
 from saleloom.operators.work import freeze, work_folder
 
-SHARD_IDS = 2_000_000  # a shard is closed once it holds so many ids (8 MB)
-_FOOTER = struct.Struct("<8sQQQQQI")
+SHARD_IDS = 2_000_000  # a shard is closed once it holds so many ids (4 MB)
+_FOOTER = struct.Struct("<8sQQQQQBI")
 _MAGIC = b"EFTOKEN1"
 _MANIFEST = "part int, seq int, path string, n_docs long, n_ids long"
 _DOCUMENTS = "doc_id long, start long, n_tokens long, ids binary"
@@ -41,14 +41,14 @@ def _file_system(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path)
 
 
-def shard_bytes(doc_ids: list[int | None], documents: list[bytes]) -> bytes:
-    """One shard. Null document ids must come first; the others must not decrease."""
+def shard_bytes(doc_ids: list[int | None], documents: list[bytes], width: int) -> bytes:
+    """One shard of documents whose ids take ``width`` bytes. Null document ids must come first; the others must not decrease."""
     known = [d for d in doc_ids if d is not None]
     ids = b"".join(documents)
-    ends = EliasFano.encode(np.cumsum([len(d) // 4 for d in documents], dtype=np.int64)).to_bytes()
+    ends = EliasFano.encode(np.cumsum([len(d) // width for d in documents], dtype=np.int64)).to_bytes()
     names = EliasFano.encode(np.array(known, dtype=np.int64)).to_bytes()
     body = ids + ends + names
-    sizes = (len(ids) // 4, len(documents), len(documents) - len(known), len(ends), len(names))
+    sizes = (len(ids) // width, len(documents), len(documents) - len(known), len(ends), len(names), width)
     return body + _FOOTER.pack(_MAGIC, *sizes, zlib.crc32(body))
 
 
@@ -59,20 +59,22 @@ class Shard:
         system, self.path = _file_system(path)
         self.file = system.open_input_file(self.path)
         size = self.file.size()
-        magic, self.n_ids, self.n_docs, self.n_null, n_ends, n_names, self.crc = _FOOTER.unpack(
+        magic, self.n_ids, self.n_docs, self.n_null, n_ends, n_names, self.width, self.crc = _FOOTER.unpack(
             self.file.read_at(_FOOTER.size, size - _FOOTER.size)
         )
         if magic != _MAGIC:
             raise ValueError(f"not a token shard: {path}")
-        self.ends = EliasFano.from_bytes(self.file.read_at(n_ends, 4 * self.n_ids))
-        self.names = EliasFano.from_bytes(self.file.read_at(n_names, 4 * self.n_ids + n_ends))
+        at = self.width * self.n_ids
+        self.ends = EliasFano.from_bytes(self.file.read_at(n_ends, at))
+        self.names = EliasFano.from_bytes(self.file.read_at(n_names, at + n_ends))
 
     def span(self, i: int) -> tuple[int, int]:
         return (self.ends.select(i - 1) if i else 0), self.ends.select(i)
 
     def document(self, i: int) -> np.ndarray:
         start, end = self.span(i)
-        return np.frombuffer(self.file.read_at(4 * (end - start), 4 * start), dtype="<u4")
+        data = self.file.read_at(self.width * (end - start), self.width * start)
+        return np.frombuffer(data, dtype=f"<u{self.width}")
 
     def doc_id(self, i: int) -> int | None:
         return None if i < self.n_null else self.names.select(i - self.n_null)
@@ -86,7 +88,8 @@ class Shard:
         starts = np.concatenate([np.zeros(1, np.int64), ends[:-1]]) if self.n_docs else ends
         names = np.concatenate([np.zeros(self.n_null, np.int64), self.names.decode()])
         unknown = np.arange(self.n_docs) < self.n_null
-        ids = [body[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        wide = np.frombuffer(body, dtype=f"<u{self.width}", count=self.n_ids).astype("<u4").tobytes()
+        ids = [wide[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
         columns = [pa.array(names, mask=unknown), pa.array(base + starts), pa.array(ends - starts)]
         return pa.RecordBatch.from_arrays([*columns, pa.array(ids, pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
 
@@ -101,10 +104,10 @@ def write_token_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col: str =
     the folder that ``spark.checkpoint.dir`` names.
     """
     folder = f"{work_folder(docs.sparkSession)}/saleloom/token-ids-{uuid.uuid4().hex}"
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = LibraryIds(tokenizer, spaces_matter)
+        width, end = encoder.dtype.itemsize, np.array([end_id], dtype=encoder.dtype).tobytes()
         system, root = _file_system(folder)
         system.create_dir(root)
         part, seq = TaskContext.get().partitionId(), 0
@@ -115,7 +118,7 @@ def write_token_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col: str =
         def close() -> pa.RecordBatch:
             path = f"{folder}/{part:06d}-{seq:06d}-{uuid.uuid4().hex}.ids"
             with system.open_output_stream(_file_system(path)[1]) as out:
-                out.write(shard_bytes(names, done))
+                out.write(shard_bytes(names, done, width))
             row = [[part], [seq], [path], [len(done)], [held]]
             kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
             arrays = [pa.array(v, k) for v, k in zip(row, kinds, strict=True)]
@@ -125,7 +128,7 @@ def write_token_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col: str =
             for name, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
                 names.append(name)
                 done.append(ids + end)
-                held += len(ids) // 4 + 1
+                held += len(ids) // width + 1
                 if held >= shard_ids:
                     yield close()
                     seq, names, done, held = seq + 1, [], [], 0
