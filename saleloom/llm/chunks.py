@@ -15,15 +15,40 @@ import pyarrow as pa
 GLUED = "\x01"  # marks a chunk that follows a line feed or the start of the text: no space before it
 
 Encode = Callable[[Sequence[str]], Sequence[object]]
+TAILS = ",.;:!?"  # punctuation that is cut off behind a word where the tokenizer allows it
 
 
 class Memo:
-    """Bounded map from chunk to encoded value: two generations, the older is dropped when the newer is full."""
+    """Bounded map from chunk key to encoded value: two generations, the older is dropped when the newer is full.
 
-    def __init__(self, encode: Encode, limit: int = 400_000):
-        self.encode, self.limit = encode, limit
+    ``encode`` maps keys to values (None: the text must be encoded whole). If ``separable(a, b)`` says that a tokenizer
+    never joins the characters a and b, a word with punctuation behind it is looked up as word and punctuation.
+    """
+
+    def __init__(self, encode: Encode, join: Callable[[list], object] | None = None,
+                 separable: Callable[[str, str], bool] | None = None, limit: int = 400_000):
+        self.encode, self.join, self.separable, self.limit = encode, join, separable, limit
         self.new: dict[str, object] = {}
         self.old: dict[str, object] = {}
+        self.tails: dict[str, object] = {}
+
+    def _cut(self, key: str) -> str:
+        base = key.rstrip(TAILS)
+        if not base or base == key or base == GLUED or not self.separable(base[-1], key[len(base)]):
+            return key
+        return base
+
+    def _encode_cut(self, missing: list[str]) -> None:
+        bases = [self._cut(key) for key in missing]
+        tails = {key[len(base) :] for base, key in zip(bases, missing, strict=True)} - self.tails.keys() - {""}
+        wanted = [base for base in dict.fromkeys(bases) if base not in self.new and base not in self.old]
+        values = self.encode([*wanted, *(GLUED + tail for tail in tails)])
+        self.new.update(zip(wanted, values, strict=False))
+        self.tails.update(zip(tails, values[len(wanted) :], strict=True))
+        for base, key in zip(bases, missing, strict=True):
+            if base != key:
+                value = self.new[base] if base in self.new else self.old[base]
+                self.new[key] = None if value is None else self.join([value, self.tails[key[len(base) :]]])
 
     def fill(self, keys: Iterable[str]) -> dict[str, object]:
         """A map that holds at least ``keys``."""
@@ -38,7 +63,9 @@ class Memo:
                 missing.append(key)
             else:
                 self.new[key] = value
-        if missing:
+        if missing and self.separable:
+            self._encode_cut(missing)
+        elif missing:
             self.new.update(zip(missing, self.encode(missing), strict=True))
         return self.new
 

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 import os
 from collections.abc import Sequence
+from functools import lru_cache
 
 import numpy as np
 
 from saleloom.llm.chunks import Memo, core_of, cuts_cleanly, encode_texts
 
-TAILS = ",.;:!?"
-
-
 class LibraryIds:
     """Encoder for one tokenizer file; ids take two bytes (``dtype``) if the vocabulary allows it, else four.
 
@@ -27,8 +25,8 @@ class LibraryIds:
         self.tokenizer.no_padding()
         self.spaces_matter = spaces_matter
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo = Memo(self._encode_chunks)
-        self.tails: dict[str, bytes] = {}
+        # Both kinds of pre-tokenizer cut between a letter and punctuation.
+        self.memo = Memo(self._encode_chunks, b"".join, lambda a, b: a.isalpha())
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
 
     def _library(self, texts: Sequence[str]) -> list[bytes]:
@@ -36,23 +34,11 @@ class LibraryIds:
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
 
     def _encode_chunks(self, keys: Sequence[str]) -> list[bytes | None]:
-        """Ids of each chunk. Punctuation behind a letter is a pre-token of its own, so ``word,`` is ``word`` and ``,``."""
-        bases = [k.rstrip(TAILS) for k in keys]
-        bases = [b if b and b[-1].isalpha() else k for b, k in zip(bases, keys, strict=True)]
-        tails = {k[len(b) :] for b, k in zip(bases, keys, strict=True)} - self.tails.keys()
-        if tails:
-            self.tails.update(zip(sorted(tails), self._library(sorted(tails)), strict=True))
-        new, old = self.memo.new, self.memo.old
-        wanted = [b for b in dict.fromkeys(bases) if b not in new and b not in old]
-        spelled = [self._spelled(b) for b in wanted]
-        known = dict.fromkeys(wanted)
-        clean = [(b, s) for b, s in zip(wanted, spelled, strict=True) if s is not None]
-        known.update(zip((b for b, _ in clean), self._library([s for _, s in clean]), strict=True))
-        new.update(known)
-        values = []
-        for base, key in zip(bases, keys, strict=True):
-            ids = new[base] if base in new else old[base]
-            values.append(None if ids is None else ids + self.tails[key[len(base) :]])
+        spelled = [self._spelled(k) for k in keys]
+        values: list[bytes | None] = [None] * len(keys)
+        clean = [i for i, s in enumerate(spelled) if s is not None]
+        for i, ids in zip(clean, self._library([spelled[i] for i in clean]), strict=True):
+            values[i] = ids
         return values
 
     def _spelled(self, key: str) -> str | None:
@@ -65,3 +51,9 @@ class LibraryIds:
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """Ids of each whole text, equal to the library's ``encode(text, add_special_tokens=False)``."""
         return encode_texts(texts, self.memo, lambda t: self._library([t])[0], b"".join, self.special)
+
+
+@lru_cache(maxsize=2)
+def library_ids(path: str, spaces_matter: bool) -> LibraryIds:
+    """The encoder of this worker process: its chunk memo serves all tasks that the process runs."""
+    return LibraryIds(path, spaces_matter)

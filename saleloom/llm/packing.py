@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from saleloom.llm.chunks import slices
 from saleloom.llm.config_lp import Pattern, solve
-from saleloom.llm.library_ids import LibraryIds
+from saleloom.llm.library_ids import library_ids
 from saleloom.operators.work import freeze
 
 BUCKET_ROWS = 50_000  # pieces of one length are numbered in buckets of about so many rows
@@ -27,7 +27,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_c
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = LibraryIds(tokenizer, spaces_matter)
+        encoder = library_ids(tokenizer, spaces_matter)
         end = np.array([end_id], dtype="<u4").tobytes()
         step = 4 * capacity
         for batch in slices(batches):

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 from itertools import chain
 
 import pyarrow as pa
@@ -76,6 +77,13 @@ def _joined(parts: list[list[int]]) -> list[int]:
     return list(chain.from_iterable(parts))
 
 
+@lru_cache(maxsize=2)
+def _coder(model: str) -> tuple[PieceModel, PieceChunks]:
+    """The encoder of this worker process: its chunk memo serves all tasks that the process runs."""
+    pieces = PieceModel.load(model)
+    return pieces, PieceChunks(pieces, Agenda(pieces).encode_all, _joined)
+
+
 def encode_decode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids array<int> (with the end id), decoded string: one row per row, no shuffle.
 
@@ -87,8 +95,7 @@ def encode_decode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
         import sentencepiece
 
         library = sentencepiece.SentencePieceProcessor(model_file=model)
-        pieces = PieceModel.load(model)
-        chunks = PieceChunks(Agenda(pieces).encode_all, _joined)
+        pieces, chunks = _coder(model)
         for batch in slices(batches):
             texts = batch.column(1).to_pylist()
             found = chunks.encode(texts)

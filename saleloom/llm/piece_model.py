@@ -93,9 +93,12 @@ class PieceChunks:
     ``encode`` maps chunks (spaces already replaced) to values, ``join`` makes a text's value from its chunks' values.
     """
 
-    def __init__(self, encode: Callable[[Sequence[str]], Sequence[object]], join: Callable[[list], object]):
+    def __init__(self, model: PieceModel, encode: Callable[[Sequence[str]], Sequence[object]],
+                 join: Callable[[list], object]):
         self._encode, self._join = encode, join
-        self.words, self.runs = Memo(self._encode_words), Memo(encode)
+        joined = {piece[i : i + 2] for piece in model.id for i in range(len(piece) - 1)}
+        self.words = Memo(self._encode_words, join, lambda a, b: a + b not in joined)
+        self.runs = Memo(encode)
 
     def _encode_words(self, keys: Sequence[str]) -> list[object | None]:
         values: list[object | None] = [None] * len(keys)

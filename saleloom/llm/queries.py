@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleloom.llm import chat, packing, piece_codec, token_counts, token_ids
+from saleloom.llm import chat, packing, piece_codec, set_join, token_counts, token_ids
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -109,3 +109,9 @@ SELECT conv_id, count(*) AS n_turns,
            + (length(text) - length(replace(text, '[/INST]', ''))) / 7) AS BIGINT) AS formatted_chars
 FROM turns GROUP BY conv_id
 """
+
+
+@query
+def op10_ngram_jaccard_join(spark, folder):
+    """Components of all documents under links of 85 percent Jaccard of 4-word shingles."""
+    return set_join.link_components(table(spark, folder, "documents"), width=4, percent=85)

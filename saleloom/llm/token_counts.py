@@ -8,6 +8,7 @@ its surviving symbols are counted. Ranks order the merged pieces by score; equal
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -113,6 +114,13 @@ class MergeTable:
         return total.tolist()
 
 
+@lru_cache(maxsize=2)
+def _counter(model: str) -> PieceChunks:
+    """The counter of this worker process: its chunk memo serves all tasks that the process runs."""
+    pieces = PieceModel.load(model)
+    return PieceChunks(pieces, MergeTable(pieces).count, sum)
+
+
 def count_tokens(docs: DataFrame, model: str, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes long (UTF-8), n_tokens long, over_limit boolean (n_tokens > limit), one row per row.
 
@@ -120,7 +128,7 @@ def count_tokens(docs: DataFrame, model: str, limit: int, id_col: str = "doc_id"
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = PieceChunks(MergeTable(PieceModel.load(model)).count, sum)
+        chunks = _counter(model)
         for batch in slices(batches):
             tokens = chunks.encode(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(tokens, pa.int64())], names)

@@ -26,11 +26,12 @@ from pyspark.sql import functions as F
 
 from saleloom.llm.chunks import slices
 from saleloom.llm.elias_fano import EliasFano
-from saleloom.llm.library_ids import LibraryIds
+from saleloom.llm.library_ids import library_ids
 from saleloom.operators.keys import running_offsets
 from saleloom.operators.work import freeze, work_folder
 
 SHARD_IDS = 2_000_000  # a shard is closed once it holds so many ids (4 MB)
+READ_TASKS = 4  # read tasks for each shuffle partition at most
 _FOOTER = struct.Struct("<8sQQQQQBI")
 _MAGIC = b"EFTOKEN1"
 _MANIFEST = "part int, seq int, path string, n_docs long, n_ids long"
@@ -106,7 +107,7 @@ def write_token_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col: str =
     folder = f"{work_folder(docs.sparkSession)}/saleloom/token-ids-{uuid.uuid4().hex}"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = LibraryIds(tokenizer, spaces_matter)
+        encoder = library_ids(tokenizer, spaces_matter)
         width, end = encoder.dtype.itemsize, np.array([end_id], dtype=encoder.dtype).tobytes()
         system, root = _file_system(folder)
         system.create_dir(root)
@@ -159,4 +160,7 @@ def read_token_ids(manifest: DataFrame) -> DataFrame:
             for path, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 yield Shard(path).batch(base)
 
-    return shards.repartition("path").mapInArrow(read, _DOCUMENTS)
+    # The manifest is tiny, so its size must not decide how many tasks read the shards.
+    session = manifest.sparkSession
+    tasks = max(1, min(manifest.count(), READ_TASKS * int(session.conf.get("spark.sql.shuffle.partitions"))))
+    return shards.repartition(tasks, "path").mapInArrow(read, _DOCUMENTS)
