@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleloom.llm import chat, packing, piece_codec, set_join, token_counts, token_ids
+from saleloom.llm import chat, minhash, packing, piece_codec, set_join, token_counts, token_ids
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -111,6 +111,12 @@ FROM turns GROUP BY conv_id
 """
 
 
+@query
+def op9_minhash_fingerprints(spark, folder):
+    """MinHash fingerprints of all documents and their edited texts."""
+    return minhash.fingerprint_edits(table(spark, folder, "documents"))
+
+
 @query
 def op10_ngram_jaccard_join(spark, folder):
     """Components of all documents under links of 85 percent Jaccard of 4-word shingles."""

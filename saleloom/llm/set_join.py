@@ -17,7 +17,7 @@ member by member. So a group of n near copies costs about n pairs, and yet no li
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 from math import comb
 
@@ -80,6 +80,13 @@ def _class_key(found: np.ndarray) -> int:
     return int(total.view(np.int64)[0])
 
 
+def class_rows(texts: pa.Array, width: int) -> list[pa.Array]:
+    """Set size and class of each text."""
+    sets = shingle_sets(texts, width)
+    classes = [_class_key(s) if len(s) else None for s in sets]
+    return [pa.array([len(s) for s in sets], pa.int64()), pa.array(classes, pa.int64())]
+
+
 def _sketch(docs: DataFrame, width: int, percent: int, small: int) -> DataFrame:
     """doc_id, n_shingles, class (null for an empty set), keys array<long>."""
 
@@ -124,14 +131,15 @@ def _shared(listed: DataFrame) -> DataFrame:
     return spread.where("low < high").select("key")
 
 
-def _live(listed: DataFrame, sizes: DataFrame, small: int) -> DataFrame:
+Least = Callable[[Column], Column]  # keys that two linked sets share at least, from the size of the smaller
+
+
+def _live(listed: DataFrame, sizes: DataFrame, least: Least) -> DataFrame:
     """Rows (class, key) of the classes that may have a partner, without keys that only one class lists."""
     for _ in range(2):
         common = listed.join(_shared(listed), "key", "left_semi").distinct()
         enough = common.groupBy("class").agg(F.count(F.lit(1)).alias("n")).join(sizes, "class")
-        # A small set needs one shared key only: it may link by a subset.
-        least = F.when(F.col("n_shingles") <= small, 1).otherwise(F.greatest(F.lit(1), F.floor(F.col("n_shingles") * SLACK / 100)))
-        enough = enough.where(F.col("n") >= least).select("class")
+        enough = enough.where(F.col("n") >= least(F.col("n_shingles"))).select("class")
         listed = freeze(common.join(enough, "class", "left_semi"), "live")
     return freeze(listed.join(_shared(listed), "key", "left_semi"), "live")
 
@@ -163,7 +171,7 @@ def _hub_pairs(lists: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     return met.groupBy("class").agg(F.max_by("hub", F.struct("n", "hub")).alias("b")).select(F.col("class").alias("a"), "b")
 
 
-def _rest_pairs(lists: DataFrame, sizes: DataFrame, percent: int, small: int) -> DataFrame:
+def _rest_pairs(lists: DataFrame, sizes: DataFrame, percent: int, least: Least) -> DataFrame:
     """All pairs (a, b) of different components that share enough keys; one side is not in its list's largest one."""
     parts = lists.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     largest = parts.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("parts"))
@@ -176,9 +184,7 @@ def _rest_pairs(lists: DataFrame, sizes: DataFrame, percent: int, small: int) ->
     a = sizes.select(F.col("class").alias("a"), F.col("n_shingles").alias("size_a"))
     b = sizes.select(F.col("class").alias("b"), F.col("n_shingles").alias("size_b"))
     counted = counted.join(a, "a").join(b, "b").where(_fits(F.col("size_a"), F.col("size_b"), percent))
-    lesser = F.least("size_a", "size_b")
-    least = F.when(lesser <= small, 1).otherwise(F.greatest(F.lit(1), F.floor(lesser * SLACK / 100)))
-    return counted.where(F.col("n") >= least).select("a", "b")
+    return counted.where(F.col("n") >= least(F.least("size_a", "size_b"))).select("a", "b")
 
 
 def link_components(docs: DataFrame, width: int = 4, percent: int = 85, id_col: str = "doc_id",
@@ -193,11 +199,23 @@ def link_components(docs: DataFrame, width: int = 4, percent: int = 85, id_col:
     small = boundary(percent)
     sketch = freeze(_sketch(texts, width, percent, small), "sketch")
 
+    def least(size: Column) -> Column:
+        # A small set may link by a single subset.
+        return F.when(size <= small, 1).otherwise(F.greatest(F.lit(1), F.floor(size * SLACK / 100)))
+
+    return link(sketch, texts, width, percent, least)
+
+
+def link(sketch: DataFrame, texts: DataFrame, width: int, percent: int, least: Least) -> DataFrame:
+    """doc_id, n_shingles, component_id from key lists: doc_id, n_shingles, class, keys (``sketch``), and the texts.
+
+    ``least`` says how many keys two sets that link share at least.
+    """
     known = sketch.where("class is not null")
     sizes = known.groupBy("class").agg(F.first("n_shingles").alias("n_shingles"), F.min("doc_id").alias("doc_id"))
     sizes = freeze(sizes, "classes")
     listed = known.select("class", F.explode("keys").alias("key"))
-    live = _live(listed, sizes, small)
+    live = _live(listed, sizes, least)
 
     # A class is a better hub the more classes share its keys.
     spread = live.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
@@ -209,7 +227,7 @@ def link_components(docs: DataFrame, width: int = 4, percent: int = 85, id_col:
     links = None
     labelled = lists.withColumn("label", F.col("class"))
     for step in range(HUB_ROUNDS + 1):
-        pairs = _hub_pairs(labelled, sizes, percent) if step < HUB_ROUNDS else _rest_pairs(labelled, sizes, percent, small)
+        pairs = _hub_pairs(labelled, sizes, percent) if step < HUB_ROUNDS else _rest_pairs(labelled, sizes, percent, least)
         found = freeze(_verified(freeze(pairs, "pairs"), sets, percent), "links")
         links = found if links is None else links.union(found)
         labels = components(links)
