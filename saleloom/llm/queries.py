@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleloom.llm import chat, minhash, packing, piece_codec, set_join, token_counts, token_ids
+from saleloom.llm import chat, minhash, packing, piece_codec, set_join, surrogates, token_counts, token_ids
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,8 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
+PII_KEY = "corpus-surrogates"  # a deployment passes its own secret
+
 
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
@@ -68,6 +70,12 @@ def op6_piece_codec(spark, folder):
     )
 
 
+@query
+def op7_pii_surrogates(spark, folder):
+    """All documents with their personal data replaced by surrogates."""
+    return surrogates.replace_entities(table(spark, folder, "documents").select("doc_id", "text"), PII_KEY)
+
+
 @query
 def op8_chat_format(spark, folder):
     """All conversations, and one made of control strings, formatted and read back."""
