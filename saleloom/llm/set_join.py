@@ -137,7 +137,7 @@ Least = Callable[[Column], Column]  # keys that two linked sets share at least,
 def _live(listed: DataFrame, sizes: DataFrame, least: Least) -> DataFrame:
     """Rows (class, key) of the classes that may have a partner, without keys that only one class lists."""
     for _ in range(2):
-        common = listed.join(_shared(listed), "key", "left_semi").distinct()
+        common = freeze(listed.join(_shared(listed), "key", "left_semi").distinct(), "common")
         enough = common.groupBy("class").agg(F.count(F.lit(1)).alias("n")).join(sizes, "class")
         enough = enough.where(F.col("n") >= least(F.col("n_shingles"))).select("class")
         listed = freeze(common.join(enough, "class", "left_semi"), "live")

@@ -3,7 +3,7 @@
 Entities are found by one pattern of alternatives. Each has a normal form (case, punctuation and layout removed), and
 its surrogate depends on the secret key, the type and the normal form alone, so that one entity is replaced alike in
 all documents and layouts. Characters keep their kind and place: digits stay digits, letters keep case and script, IP
-octets stay in range, card numbers keep their check digit valid, names keep the gender of their title.
+octets stay in range, phone numbers keep the country, card numbers their first digit and a valid check digit, names keep the gender of their title.
 
 Distinctness is checked over the whole corpus: normal forms are reduced to distinct ones, grouped by surrogate, and
 where several share one, or one equals an entity of the corpus, all but the first are drawn again.
@@ -150,14 +150,16 @@ def surrogate_of(key: str, kind: Column, normal: Column, attempt: Column) -> Col
     """Surrogate of a normal form, itself in normal form."""
     stream = _stream(key, kind, normal, attempt)
     digits = _digits(F.length(normal), stream)
+    country = F.substring(normal, F.lit(1), F.greatest(F.length(normal) - 10, F.lit(0)))
     octets = [(_number(stream, F.lit(k)) % 254 + 1).cast("string") for k in range(4)]
     # Mailboxes of one domain stay together; the domain is one that is reserved for examples.
     domain = F.substring(F.translate(_stream(key, F.lit("domain"), F.substring_index(normal, "@", -1), F.lit(0)), "0123456789", "ghijklmnop"), 1, 10)
     mailbox = _by_character(F.substring_index(normal, "@", 1), stream)
     return (
         F.when(kind == "ip", F.concat_ws(".", *octets))
-        .when(kind == "card", _with_check_digit(digits))
-        .when(kind.isin("ssn", "phone"), digits)
+        .when(kind == "card", _with_check_digit(F.concat(F.substring(normal, 1, 1), F.substring(digits, F.lit(2), F.length(digits)))))
+        .when(kind == "phone", F.concat(country, F.substring(digits, F.length(country) + 1, F.length(digits))))
+        .when(kind == "ssn", digits)
         .when(kind == "email", F.concat(mailbox, F.lit("@"), domain, F.lit(".example.org")))
         .when(kind == "iban", F.concat(F.substring(normal, 1, 2), _by_character(F.substring(normal, F.lit(3), F.length(normal)), stream)))
         .when(kind == "key", F.concat(F.substring(normal, 1, 4), _by_character(F.substring(normal, F.lit(5), F.length(normal)), stream)))
