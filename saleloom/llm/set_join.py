@@ -6,18 +6,22 @@ least t percent of either size, and each side misses at most (100 - t) percent o
 * Small sets list all their subsets of those sizes as keys: linked small sets share the key of their overlap.
 * Large sets list a prefix of their shingles in hash order, ``size - needed + slack`` of them; linked sets share the
   ``slack`` first shingles of their overlap. A set is dropped once fewer than ``slack`` of its listed shingles occur
-  in any other set left, which removes nearly all sets without a partner before a pair is formed.
+  in any other set left, which removes nearly all sets without a partner before a pair is formed. What is left is
+  listed again by parts: shingles are dealt by hash to more parts than linked sets may differ in, so that linked sets
+  agree in a whole part, while sets that only resemble each other rarely do.
 * A set size is small while its subsets cost less than scanning its inverted lists (``boundary``). Sets near the
   boundary list both kinds of keys, so that a pair across it is found by the prefix.
 
 Sets that are equal form one class. A list links its members to a hub, the member whose lists are longest, instead of
-to each other; verified links merge into components, and only lists that still hold several components are scanned
-member by member. So a group of n near copies costs about n pairs, and yet no link between components is lost.
+to each other; verified links merge into components, and only lists of parts that still hold several components are
+scanned member by member. So a group of n near copies costs about n pairs, and yet no link between components is lost.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import combinations
 from math import comb
 
@@ -33,9 +37,11 @@ from saleloom.operators.work import freeze
 
 SLACK = 5  # percent of a set's size by which its prefix is longer than the least exact one
 SCAN_ROWS = 8  # rows of an inverted list that are scanned for one prefix shingle, for the cost of the boundary
-HUB_ROUNDS = 2
+HUB_ROUNDS = 2  # the first on the listed keys, the others on parts
+SPARE_PARTS = 3  # parts beyond the least number, so that parts which happen to be empty need no key
 BROADCAST_ROWS = 2_000_000  # ids of sets to fetch are broadcast up to so many rows (16 MB)
 _SUBSET_SEED = np.uint64(0x5851F42D4C957F2D)
+_PART_SEED = np.uint64(0x14057B7EF767814F)
 
 
 def needed(size: int, percent: int) -> int:
@@ -58,20 +64,60 @@ def boundary(percent: int) -> int:
         size += 1
 
 
+def _subset_keys(found: np.ndarray, least: int) -> np.ndarray:
+    """Keys of all subsets of at least ``least`` members: the mixed sum of their mixed members."""
+    terms = mix(found ^ _SUBSET_SEED)
+    sums = [terms[list(c)].sum() + np.uint64(n) for n in range(least, len(found) + 1) for c in combinations(range(len(found)), n)]
+    return mix(np.array(sums, dtype=np.uint64) ^ _SUBSET_SEED)
+
+
 def _keys(found: np.ndarray, percent: int, small: int) -> np.ndarray:
     """Keys of one set (ascending distinct shingles)."""
     size = len(found)
     least = needed(size, percent)
-    keys = []
-    if size <= small:
-        # The key of a subset is the mixed sum of its shingles.
-        terms = mix(found ^ _SUBSET_SEED)
-        parts = [sum(c, np.uint64(size_k)) for size_k in range(least, size + 1)
-                 for c in combinations(terms.tolist(), size_k)] if size else []
-        keys.append(mix(np.array([int(p) & 0xFFFFFFFFFFFFFFFF for p in parts], dtype=np.uint64) ^ _SUBSET_SEED))
+    keys = [np.zeros(0, np.uint64)]
+    if 0 < size <= small:
+        keys.append(_subset_keys(found, least))
     if size >= needed(small + 1, percent):
         keys.append(found[: size - least + slack_of(size)])
-    return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+    return np.concatenate(keys)
+
+
+@lru_cache(maxsize=8)
+def _size_steps(percent: int) -> list[int]:
+    """Lower bounds of size classes such that linked sets are in the same or in neighbouring classes."""
+    steps = [1]
+    while steps[-1] < 1 << 40:
+        steps.append(100 * steps[-1] // percent + 1)
+    return steps
+
+
+def _part_keys(found: np.ndarray, percent: int, small: int) -> np.ndarray:
+    """Keys of one set for the last scan: its subsets if it is small, and its parts.
+
+    A set of size class c is dealt to the parts of schemes c and c - 1; scheme c has ``SPARE_PARTS`` + 1 parts more
+    than two linked sets can differ in of which the smaller is of class c. So linked sets agree in ``SPARE_PARTS`` + 1
+    parts, and one of these is not empty unless both sets have more empty parts than ``SPARE_PARTS``.
+    """
+    size = len(found)
+    keys = [np.zeros(0, np.uint64)]
+    if 0 < size <= small:
+        keys.append(_subset_keys(found, needed(size, percent)))
+    if size >= needed(small + 1, percent):
+        steps = _size_steps(percent)
+        own = bisect_right(steps, size) - 1
+        terms = mix(found ^ _PART_SEED)
+        for scheme in (own, own - 1):
+            union = 100 * (steps[scheme + 1] - 1) // percent
+            parts = (100 - percent) * union // 100 + 1 + SPARE_PARTS
+            part = (terms >> np.uint64(20)) % np.uint64(parts)
+            sums = np.zeros(parts, dtype=np.uint64)
+            np.add.at(sums, part.astype(np.int64), terms)
+            number = np.bincount(part.astype(np.int64), minlength=parts).astype(np.uint64)
+            tag = np.arange(parts, dtype=np.uint64) + np.uint64(scheme + 1) * np.uint64(0x9E3779B97F4A7C15)
+            key = mix(mix(sums + number) ^ mix(tag))
+            keys.append(key[number > 0] if (number == 0).sum() <= SPARE_PARTS else key)
+    return np.concatenate(keys)
 
 
 def _class_key(found: np.ndarray) -> int:
@@ -106,21 +152,23 @@ def _sketch(docs: DataFrame, width: int, percent: int, small: int) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(class, items) of the classes that ``wanted`` (class, doc_id) names, from the texts of those documents."""
+def _sets_of(docs: DataFrame, wanted: DataFrame, width: int, percent: int) -> DataFrame:
+    """(class, items, parts) of the classes that ``wanted`` (class, doc_id) names, from the texts of those documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = shingle_sets(batch.column(1), width)
             classes = pa.array([_class_key(s) if len(s) else None for s in sets], pa.int64())
             items = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([classes, items], ["class", "items"])
+            parts = pa.array([_part_keys(s, percent, small).view(np.int64) for s in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([classes, items, parts], ["class", "items", "parts"])
 
+    small = boundary(percent)
     ids = wanted.select(F.col("doc_id").alias("wanted_id")).distinct()
     if wanted.count() <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
     chosen = docs.join(ids, docs["doc_id"].eqNullSafe(ids["wanted_id"]), "left_semi")
-    sets = chosen.mapInArrow(run, "class long, items array<long>")
+    sets = chosen.mapInArrow(run, "class long, items array<long>, parts array<long>")
     kept = sets.join(wanted.select("class"), "class", "left_semi")
     return kept.dropDuplicates(["class"])  # an id may have several rows
 
@@ -161,30 +209,25 @@ def _fits(a: Column, b: Column, percent: int) -> Column:
 
 def _hub_pairs(lists: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """(a, b): each class with the hub that it shares most keys with. ``lists``: key, class, weight, label."""
-    best = F.max_by(F.struct("class", "label"), F.struct("weight", "class"))
-    hubs = lists.groupBy("key").agg(best.alias("hub"))
+    hubs = lists.groupBy("key").agg(F.max(F.struct("weight", "class", "label")).alias("hub"))
     met = lists.join(hubs, "key").where("class <> hub.class and label <> hub.label")
     met = met.groupBy("class", F.col("hub.class").alias("hub")).agg(F.count(F.lit(1)).alias("n"))
     a = sizes.select(F.col("class"), F.col("n_shingles").alias("size_a"))
     b = sizes.select(F.col("class").alias("hub"), F.col("n_shingles").alias("size_b"))
     met = met.join(a, "class").join(b, "hub").where(_fits(F.col("size_a"), F.col("size_b"), percent))
-    return met.groupBy("class").agg(F.max_by("hub", F.struct("n", "hub")).alias("b")).select(F.col("class").alias("a"), "b")
+    return met.groupBy("class").agg(F.max(F.struct("n", "hub")).alias("best")).select(F.col("class").alias("a"), F.col("best.hub").alias("b"))
 
 
-def _rest_pairs(lists: DataFrame, sizes: DataFrame, percent: int, least: Least) -> DataFrame:
-    """All pairs (a, b) of different components that share enough keys; one side is not in its list's largest one."""
+def _rest_pairs(lists: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of different components that share a key; one of them is not in its list's largest component."""
     parts = lists.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    largest = parts.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("parts"))
-    mixed = lists.join(largest.where("parts > 1"), "key")
-    minor = mixed.where("label <> main").select("key", F.col("class").alias("c"), F.col("label").alias("label_c"))
-    other = mixed.select("key", F.col("class").alias("d"), F.col("label").alias("label_d"), (F.col("label") == F.col("main")).alias("major"))
-    met = minor.join(other, "key").where("label_c <> label_d and (major or c < d)")
-    pair = met.select("key", F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"))
-    counted = pair.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
-    a = sizes.select(F.col("class").alias("a"), F.col("n_shingles").alias("size_a"))
-    b = sizes.select(F.col("class").alias("b"), F.col("n_shingles").alias("size_b"))
-    counted = counted.join(a, "a").join(b, "b").where(_fits(F.col("size_a"), F.col("size_b"), percent))
-    return counted.where(F.col("n") >= least(F.least("size_a", "size_b"))).select("a", "b")
+    largest = parts.groupBy("key").agg(F.max(F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("parts"))
+    mixed = lists.join(largest.where("parts > 1").select("key", "main.label").withColumnRenamed("label", "main"), "key")
+    sized = mixed.join(sizes.select("class", "n_shingles"), "class")
+    c = sized.where("label <> main").select("key", F.col("class").alias("c"), F.col("label").alias("label_c"), F.col("n_shingles").alias("size_c"))
+    d = sized.select("key", F.col("class").alias("d"), F.col("label").alias("label_d"), F.col("n_shingles").alias("size_d"), (F.col("label") == F.col("main")).alias("major"))
+    met = c.join(d, "key").where("label_c <> label_d and (major or c < d)").where(_fits(F.col("size_c"), F.col("size_d"), percent))
+    return met.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()
 
 
 def link_components(docs: DataFrame, width: int = 4, percent: int = 85, id_col: str = "doc_id",
@@ -220,21 +263,23 @@ def link(sketch: DataFrame, texts: DataFrame, width: int, percent: int, least: L
     # A class is a better hub the more classes share its keys.
     spread = live.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
     weight = live.join(spread, "key").groupBy("class").agg(F.avg("members").alias("weight"))
+    weight = freeze(weight, "weight")
     lists = freeze(live.join(weight, "class"), "lists")
     wanted = freeze(sizes.join(weight, "class", "left_semi").select("class", "doc_id"), "wanted")
-    sets = freeze(_sets_of(texts, wanted, width), "sets")
+    sets = freeze(_sets_of(texts, wanted, width, percent), "sets")
+    parts = sets.select("class", F.explode("parts").alias("key"))
+    parts = freeze(parts.join(_shared(parts), "key", "left_semi").join(weight, "class"), "parts")
 
     links = None
     labelled = lists.withColumn("label", F.col("class"))
     for step in range(HUB_ROUNDS + 1):
-        pairs = _hub_pairs(labelled, sizes, percent) if step < HUB_ROUNDS else _rest_pairs(labelled, sizes, percent, least)
+        pairs = _hub_pairs(labelled, sizes, percent) if step < HUB_ROUNDS else _rest_pairs(labelled, sizes, percent)
         found = freeze(_verified(freeze(pairs, "pairs"), sets, percent), "links")
         links = found if links is None else links.union(found)
-        labels = components(links)
+        named = components(links).select(F.col("node").alias("class"), F.col("label").alias("found_label"))
         label = F.coalesce(F.col("found_label"), F.col("class"))
-        named = labels.select(F.col("node").alias("class"), F.col("label").alias("found_label"))
         if step < HUB_ROUNDS:
-            labelled = freeze(lists.join(named, "class", "left").select("key", "class", "weight", label.alias("label")), "lists")
+            labelled = freeze(parts.join(named, "class", "left").select("key", "class", "weight", label.alias("label")), "lists")
     grouped = sizes.join(named, "class", "left").select("class", "doc_id", label.alias("label"))
     lowest = grouped.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     component = freeze(grouped.join(lowest, "label").select("class", "component_id"), "component")
