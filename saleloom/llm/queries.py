@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleloom.llm import chat, minhash, packing, piece_codec, set_join, surrogates, token_counts, token_ids
+from saleloom.llm import chat, hnsw, minhash, packing, piece_codec, set_join, surrogates, token_counts, token_ids
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,12 @@ def op1_token_ids(spark, folder):
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op3_hnsw_neighbours(spark, folder):
+    """The ten nearest vectors of every hundredth vector."""
+    return hnsw.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query
 def op4_best_fit_packing(spark, folder):
     """Pieces of all documents packed into sequences of 2048 ids by the configuration LP."""
