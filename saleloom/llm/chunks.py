@@ -26,7 +26,7 @@ class Memo:
     """
 
     def __init__(self, encode: Encode, join: Callable[[list], object] | None = None,
-                 separable: Callable[[str, str], bool] | None = None, limit: int = 400_000):
+                 separable: Callable[[str, str], bool] | None = None, limit: int = 600_000):
         self.encode, self.join, self.separable, self.limit = encode, join, separable, limit
         self.new: dict[str, object] = {}
         self.old: dict[str, object] = {}
@@ -50,24 +50,36 @@ class Memo:
                 value = self.new[base] if base in self.new else self.old[base]
                 self.new[key] = None if value is None else self.join([value, self.tails[key[len(base) :]]])
 
-    def fill(self, keys: Iterable[str]) -> dict[str, object]:
-        """A map that holds at least ``keys``."""
-        if len(self.new) >= self.limit:
-            self.old, self.new = self.new, {}
-        wanted = set(keys)
-        wanted.difference_update(self.new)
-        missing = []
+    def fill(self, wanted: Iterable[str]) -> None:
+        """Put the distinct keys ``wanted`` into ``new``."""
+        new, old, missing = self.new, self.old, []
         for key in wanted:
-            value = self.old.get(key, self)
-            if value is self:
-                missing.append(key)
-            else:
-                self.new[key] = value
+            if key not in new:
+                if key in old:
+                    new[key] = old[key]
+                else:
+                    missing.append(key)
         if missing and self.separable:
             self._encode_cut(missing)
         elif missing:
-            self.new.update(zip(missing, self.encode(missing), strict=True))
-        return self.new
+            new.update(zip(missing, self.encode(missing), strict=True))
+
+    def look_up(self, texts: Sequence[Sequence[str] | None]) -> list[list[object] | None]:
+        """Values of the keys of each text; None for a text without keys or with a key that has no value."""
+        if len(self.new) >= self.limit:
+            self.old, self.new = self.new, {}
+        get = self.new.get
+        found = [None if keys is None else list(map(get, keys)) for keys in texts]
+        holes = [[] if parts is None or all(parts) else [i for i, v in enumerate(parts) if v is None] for parts in found]
+        self.fill({keys[i] for keys, gaps in zip(texts, holes, strict=True) for i in gaps})
+        for n, gaps in enumerate(holes):
+            parts, keys = found[n], texts[n]
+            for i in gaps:
+                parts[i] = get(keys[i])
+                if parts[i] is None:
+                    found[n] = None
+                    break
+        return found
 
 
 def keys_of(text: str, start: str = GLUED) -> list[str]:
@@ -91,16 +103,9 @@ def encode_texts(texts: Sequence[str], memo: Memo, whole: Callable[[str], object
                  unsafe: Sequence[str] = (), start: str = GLUED) -> list[object]:
     """Encode each text from its chunks, or by ``whole`` if a chunk is None or the text holds an ``unsafe`` string."""
     unsafe = (GLUED, *unsafe)
-    keys = [None if any(s in text for s in unsafe) else keys_of(text, start) for text in texts]
-    known = memo.fill(k for one in keys if one is not None for k in one)
-    found = []
-    for text, one in zip(texts, keys, strict=True):
-        if not text:
-            found.append(join([]))
-            continue
-        parts = None if one is None else [known[k] for k in one]
-        found.append(whole(text) if parts is None or None in parts else join(parts))
-    return found
+    keys = [None if any(s in text for s in unsafe) else keys_of(text, start) if text else [] for text in texts]
+    found = memo.look_up(keys)
+    return [whole(text) if parts is None else join(parts) for text, parts in zip(texts, found, strict=True)]
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:

@@ -114,8 +114,7 @@ class PieceChunks:
 
     def _whole(self, text: str) -> object:
         chunks = _CHUNK.findall(SPACE + text.replace(" ", SPACE))
-        known = self.runs.fill(chunks)
-        return self._join([known[c] for c in chunks])
+        return self._join(self.runs.look_up([chunks])[0])
 
     def encode(self, texts: Sequence[str]) -> list[object]:
         return encode_texts(texts, self.words, self._whole, self._join, start="")
