@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleloom.llm import chat, hnsw, minhash, packing, piece_codec, set_join, surrogates, token_counts, token_ids
+from saleloom.llm import chat, hnsw, minhash, packing, piece_codec, quality, set_join, surrogates, token_counts, token_ids
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,15 @@ def op1_token_ids(spark, folder):
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op2_quality_classifier(spark, folder):
+    """Quality and keep decision of every document; hosts are the sources, paths their languages."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
+    model = quality.train(docs, table(spark, folder, "labels"))
+    scored = quality.score(docs, model, host=F.col("source"), path=F.col("lang"))
+    return scored.select("doc_id", "evidence", "host_share", "path_share", "quality", "keep")
+
+
 @query
 def op3_hnsw_neighbours(spark, folder):
     """The ten nearest vectors of every hundredth vector."""
