@@ -14,10 +14,10 @@ import numpy as np
 
 Pattern = tuple[tuple[int, int], ...]  # (length, count), longest first
 
-EPSILON = 0.25  # share of a length that one step covers at most
+EPSILON = 0.15  # share of a length that one step covers at most
 ETA = 2.0  # weight of the lag of a length
 WIDTH = 16  # configurations taken from one pricing
-ROUNDS = 4  # solve, round, solve the rest
+ROUNDS = 2  # solve, round, solve the rest
 
 
 def _price(capacity: int, lengths: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
