@@ -18,7 +18,7 @@ from saleloom.functions.numbers import nan_to_null, ratio, stable_sum
 HORIZON = 5
 LAGS = (1, 2, 3, 12)
 MODELS = ("seasonal_naive", "trailing_mean", "linear_trend")
-MIN_HISTORY = 3
+MIN_HISTORY = 3  # months of a series that are not backtested, by default
 
 
 def _series(by: Sequence[str]) -> list[Column]:
@@ -59,8 +59,11 @@ def monthly_features(monthly: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def backtest(features: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """One-step-ahead predictions of every model from the months before each month."""
+def backtest(features: DataFrame, by: Sequence[str] = (), min_history: int = MIN_HISTORY) -> DataFrame:
+    """One-step-ahead predictions of every model from the months before each month.
+
+    The first ``min_history`` months of a series have too little history and get no row.
+    """
     past = Window.partitionBy(*_series(by)).orderBy("month_start").rowsBetween(Window.unboundedPreceding, -1)
     slope = F.regr_slope("net_revenue", "trend").over(past)
     start = F.regr_intercept("net_revenue", "trend").over(past)
@@ -70,7 +73,7 @@ def backtest(features: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         "linear_trend": slope * F.col("trend") + start,
     }
     wide = features.withColumns({m: p.cast("double") for m, p in predictions.items()}).filter(
-        F.col("trend") > MIN_HISTORY
+        F.col("trend") > min_history
     )
     long = wide.unpivot(
         [*by, "month_start", "year", "month", "net_revenue"], list(MODELS), "model", "predicted"

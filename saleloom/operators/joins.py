@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_ROWS = 5_000_000
-HOT_KEYS = 1_000
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -47,31 +46,22 @@ def lookup_join(
     return rows.join(right, on, "left").select(*[c for c in rows.columns if c != "__row_salt"], *values)
 
 
-def _label(columns: Sequence[str]) -> Column:
-    return F.to_json(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(columns)]))
-
-
 def _salted(rows: DataFrame, right: DataFrame, keys: Sequence[str], hot_rows: int) -> tuple[DataFrame, DataFrame]:
     """Number both sides of the hot keys: rows get one salt each, lookup rows are repeated per salt."""
-    # At most HOT_KEYS keys come to the driver: any key beyond them owns under 1/HOT_KEYS of the rows.
-    hot = (
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > hot_rows)
-        .select(_label(keys).alias("label"), "n")
-        .orderBy(F.desc("n"), "label")
-        .limit(HOT_KEYS)
-        .collect()
-    )
-    if not hot:
+    # Every key that owns more than hot_rows rows: a table of at most rows / hot_rows lines.
+    hot = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows)
+    hot = hot.select(*[F.col(k).alias(f"__hot_{k}") for k in keys], F.ceil(F.col("n") / hot_rows).alias("__salts"))
+    if not hot.limit(1).count():
         return rows, right
-    salts = F.create_map(*[F.lit(x) for row in hot for x in (row["label"], -(-row["n"] // hot_rows))])
+
+    def with_salts(df: DataFrame, prefix: str) -> DataFrame:
+        on = reduce(lambda a, b: a & b, [F.col(f"{prefix}{k}").eqNullSafe(F.col(f"__hot_{k}")) for k in keys])
+        return df.join(F.broadcast(hot), on, "left").drop(*[f"__hot_{k}" for k in keys])
+
     # The partition number tells equal rows apart and, unlike a random number, stays the same when a
     # lost task runs again.
     spread = F.xxhash64(*rows.columns, F.spark_partition_id())
-    of_row = F.coalesce(F.try_element_at(salts, _label(keys)), F.lit(1))
-    of_lookup = F.coalesce(F.try_element_at(salts, _label([f"__{k}" for k in keys])), F.lit(1))
-    return (
-        rows.withColumn("__row_salt", F.pmod(spread, of_row.cast("long")) + 1),
-        right.withColumn("__salt", F.explode(F.sequence(F.lit(1).cast("long"), of_lookup.cast("long")))),
-    )
+    salts = F.coalesce(F.col("__salts"), F.lit(1).cast("long"))
+    of_row = with_salts(rows, "").withColumn("__row_salt", F.pmod(spread, salts) + 1).drop("__salts")
+    of_lookup = with_salts(right, "__").withColumn("__salt", F.explode(F.sequence(F.lit(1).cast("long"), salts)))
+    return of_row, of_lookup.drop("__salts")

@@ -14,6 +14,7 @@ from saleloom.functions.numbers import ratio, stable_sum
 BILLION = 1e9
 YTD_MONTH = 5
 PARETO_LIMIT = 0.8
+PIVOT_COLUMNS = 1_000  # widest pivot
 
 
 def year_to_date(sales: DataFrame, through_month: int = YTD_MONTH) -> DataFrame:
@@ -101,15 +102,27 @@ def ytd_channel(sales: DataFrame, through_month: int = YTD_MONTH) -> DataFrame:
     )
 
 
-def channel_pivot(by_channel: DataFrame, channels: Sequence[str] | None = None) -> DataFrame:
-    """Revenue per year with one column per channel, missing combinations 0.
+def channel_pivot(by_channel: DataFrame, channels: Sequence[str] | None = None, most: int = PIVOT_COLUMNS) -> DataFrame:
+    """Revenue per year with one column per channel, missing combinations 0; rows without a channel are left out.
 
-    The column list is needed to build the plan. Pass it, or it is read from the aggregated table.
+    The columns are the channels of the aggregated table, at most ``most``: a wider pivot is an error. If a list is
+    passed, it fixes the columns and their order, and a channel outside it is an error.
     """
-    if channels is None:
-        channels = [r[0] for r in by_channel.select("channel").distinct().orderBy("channel").collect()]
-    wide = by_channel.groupBy("year").pivot("channel", list(channels)).agg(F.sum("net_revenue"))
-    return wide.na.fill(0.0, [str(c) for c in channels])
+    found = by_channel.where(F.col("channel").isNotNull()).select("channel").distinct().orderBy("channel").limit(most + 1)
+    names = [r[0] for r in found.collect()]
+    if len(names) > most:
+        raise ValueError(f"more than {most} channels to pivot")
+    if channels is not None:
+        missed = sorted(set(names) - set(channels))
+        if missed:
+            raise ValueError(f"channels missing from the list: {missed}")
+        names = list(channels)
+    years = by_channel.select("year").distinct()
+    if not names:
+        return years
+    known = by_channel.where(F.col("channel").isNotNull())
+    wide = known.groupBy("year").pivot("channel", names).agg(F.sum("net_revenue"))
+    return wide.na.fill(0.0, names)
 
 
 def ytd_product_group(sales: DataFrame, through_month: int = YTD_MONTH) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +19,8 @@ from saleloom.sources.files import children, require_inputs
 from saleloom.sources.readers import load_cost, load_current, load_historical, load_sales, read_table
 from saleloom.sources.writers import publish, publish_bundle, write_table
 
+FORMAT_SUFFIXES = frozenset({"parquet", "csv", "orc", "json", "txt", "tsv", "avro"})
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -59,6 +61,20 @@ def _republished(spark: SparkSession, paths: Mapping[str, str], tables: Mapping[
     return {n: read_table(spark, paths[n], fmt).select(*tables[n].columns) for n in tables}
 
 
+def sheet_paths(folder: str, names: Sequence[str]) -> dict[str, str]:
+    """Sheet name -> path of the tables in ``folder``. Only a known format suffix is cut off; a clash is an error."""
+    sheets: dict[str, str] = {}
+    for name in names:
+        if name.startswith(("_", ".")):
+            continue
+        stem, _, suffix = name.rpartition(".")
+        sheet = stem if stem and suffix.lower() in FORMAT_SUFFIXES else name
+        if sheet in sheets:
+            raise ValueError(f"two inputs are named {sheet}: {sheets[sheet]} and {folder}/{name}")
+        sheets[sheet] = f"{folder}/{name}"
+    return sheets
+
+
 def run_cleaning(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     """Read, clean, enrich, unify; publish three raw and three clean tables, the sales table, the overview.
 
@@ -67,7 +83,7 @@ def run_cleaning(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     """
     fmt = layout.output_format
     require_inputs(spark, {"historical": layout.historical, "current": layout.current, "cost": layout.cost})
-    sheets = {n.split(".")[0]: f"{layout.historical}/{n}" for n in children(spark, layout.historical) if not n.startswith(("_", "."))}
+    sheets = sheet_paths(layout.historical, children(spark, layout.historical))
     cost_input = load_cost(spark, layout.cost, layout.input_format)
     raw = {
         "raw_sales_historical": load_historical(spark, sheets, layout.input_format),

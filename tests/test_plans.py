@@ -14,7 +14,9 @@ from saleloom import schemas, vocab
 from saleloom.checks import tables
 from saleloom.operators import kpi, outliers, quality, reports, star
 from saleloom.operators import forecast as fc
+from saleloom.operators.joins import lookup_join
 from saleloom.plans import cleaning, marts, unify
+from saleloom.plans.stages import sheet_paths
 
 FOLDER = "/root/testdata/sf0.001"
 DAY = datetime.datetime
@@ -305,3 +307,30 @@ def test_correlations(spark):
     got = {(r[0], r[1]): r[2] for r in fc.correlations(df, ["a", "b", "c"]).collect()}
     assert got["a", "b"] == pytest.approx(1.0)
     assert got["a", "c"] == pytest.approx(-1.0)
+
+
+def test_sheet_names_keep_inner_dots():
+    found = sheet_paths("h", ["2024.H1.parquet", "2024.H2.parquet", "2025", "_SUCCESS", ".x.crc"])
+    assert found == {"2024.H1": "h/2024.H1.parquet", "2024.H2": "h/2024.H2.parquet", "2025": "h/2025"}
+    with pytest.raises(ValueError, match="2025"):
+        sheet_paths("h", ["2025.parquet", "2025.csv"])
+
+
+def test_pivot_keeps_every_channel(spark):
+    df = spark.createDataFrame([(2024, "a", 1.0), (2024, "b", 2.0), (2025, None, 3.0)], "year int, channel string, net_revenue double")
+    rows = {r.year: (r.a, r.b) for r in reports.channel_pivot(df.where("channel is not null")).collect()}
+    assert rows == {2024: (1.0, 2.0)}
+    assert reports.channel_pivot(df).columns == ["year", "a", "b"]
+    with pytest.raises(ValueError, match="missing"):
+        reports.channel_pivot(df, ["a"])
+    with pytest.raises(ValueError, match="more than 1"):
+        reports.channel_pivot(df, most=1)
+
+
+def test_every_hot_key_is_salted(spark):
+    rows = spark.range(12_000).selectExpr("id % 1500 AS k", "id AS v")
+    lookup = spark.range(1500).selectExpr("id AS k", "id * 2 AS w")
+    joined = lookup_join(rows, lookup, "k", broadcast_bytes=0, hot_rows=3)
+    assert joined.count() == 12_000
+    assert joined.where("w <> k * 2 OR w IS NULL").count() == 0
+    assert joined.columns == ["k", "v", "w"]
