@@ -19,8 +19,10 @@ from saleloom.operators.work import freeze
 ATTEMPTS = 8  # draws for an entity whose surrogate is taken
 BROADCAST_ROWS = 1_000_000  # corrected rows are broadcast up to so many
 
-_MALE = r"(?:Mr|Mister|Sir|Herrn?|Monsieur|Señor|Sr|господин)"
-_FEMALE = r"(?:Mrs|Ms|Miss|Madam|Frau|Madame|Mme|Mlle|Señora|Señorita|Sra|госпожа)"
+_MALE_TITLES = ("Mr", "Mister", "Sir", "Herrn", "Herr", "Monsieur", "Señor", "Sr", "господин")
+_FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Mlle", "Señora", "Señorita", "Sra", "госпожа")
+_MALE = f"(?:{'|'.join(_MALE_TITLES)})"
+_FEMALE = f"(?:{'|'.join(_FEMALE_TITLES)})"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 
 # Type -> pattern, in the order in which they are tried.
@@ -53,6 +55,14 @@ _SYLLABLES = {
 }
 
 
+def may_hold_entities(text: Column) -> Column:
+    """False only if no pattern can match: without a digit, @, key prefix or title. Much cheaper than the patterns."""
+    found = text.rlike("[0-9]")
+    for mark in ("@", "AKIA", "ASIA", *_MALE_TITLES, *_FEMALE_TITLES):
+        found = found | F.contains(text, F.lit(mark))
+    return found
+
+
 def kind_of(entity: Column) -> Column:
     """Type of a found entity: the first pattern that matches it whole."""
     found = F.lit(None).cast("string")
@@ -226,7 +236,8 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text") -> DataF
     text = F.col(text_col).cast("string")
     # One pass over the texts: the parts between entities, and the entities, stored once for everything that follows.
     cut = docs.select(F.monotonically_increasing_id().alias("__row"), F.struct(*rest).alias("__rest") if rest else F.lit(None).alias("__rest"),
-                      F.split(text, _ANY, -1).alias("__gaps"), F.regexp_extract_all(text, F.lit(_ANY), F.lit(0)).alias("__found"))
+                      F.when(may_hold_entities(text), F.split(text, _ANY, -1)).otherwise(F.array(text)).alias("__gaps"),
+                      F.when(may_hold_entities(text), F.regexp_extract_all(text, F.lit(_ANY), F.lit(0))).alias("__found"))
     kind_normal = F.transform("__found", lambda m: F.struct(m.alias("entity"), kind_of(m).alias("kind")))
     cut = cut.withColumn("__found", kind_normal)
     normal = F.transform("__found", lambda e: F.struct(e["entity"].alias("entity"), e["kind"].alias("kind"), normal_of(e["kind"], e["entity"]).alias("normal")))
