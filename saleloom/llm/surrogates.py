@@ -236,7 +236,7 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text") -> DataF
     text = F.col(text_col).cast("string")
     # One pass over the texts: the parts between entities, and the entities, stored once for everything that follows.
     cut = docs.select(F.monotonically_increasing_id().alias("__row"), F.struct(*rest).alias("__rest") if rest else F.lit(None).alias("__rest"),
-                      F.when(may_hold_entities(text), F.split(text, _ANY, -1)).otherwise(F.array(text)).alias("__gaps"),
+                      F.when(may_hold_entities(text), F.split(text, _ANY, -1)).when(text.isNotNull(), F.array(text)).alias("__gaps"),
                       F.when(may_hold_entities(text), F.regexp_extract_all(text, F.lit(_ANY), F.lit(0))).alias("__found"))
     kind_normal = F.transform("__found", lambda m: F.struct(m.alias("entity"), kind_of(m).alias("kind")))
     cut = cut.withColumn("__found", kind_normal)
