@@ -13,7 +13,7 @@ from saleloom.operators.work import freeze
 
 SEQUENCE_TOKENS = 2048
 SHINGLE_WORDS, SIMILARITY_PERCENT = 5, 80
-BROADCAST_ROWS = 2_000_000  # ids to remove are broadcast up to so many rows (16 MB)
+BROADCAST_ROWS = 2_000_000  # rows to remove are broadcast up to so many rows (16 MB)
 
 # SQL can express none of the stages: a fitted model, links by 64-bit set hashes, keyed surrogates, a solved packing.
 ORACLE_SQL = None
@@ -27,24 +27,31 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents (5-word shingles, Jaccard 0.8) the one with the smallest id.
+    """Of each group of linked or equal documents (5-word shingles, Jaccard 0.8) the row with the smallest id.
 
-    Of several rows with one id and linked or equal texts one stays. Documents with a null id or without words stay.
+    Rows decide, not ids: rows of one id with unrelated texts all stay, and copies without an id are removed like others
+    (a known id goes before a null one, then the first row). Documents without words stay, repeated rows of one id once.
     """
-    groups = freeze(set_join.link_components(docs, SHINGLE_WORDS, SIMILARITY_PERCENT), "groups")
-    removed = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("removed_id")).distinct()
-    repeated = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("removed_id"))
-    removed, repeated = freeze(removed, "removed"), freeze(repeated, "repeated")
-
-    def bounded(ids: DataFrame) -> DataFrame:
-        return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-
-    kept = docs.join(bounded(removed), docs["doc_id"] == F.col("removed_id"), "left_anti")
-    if not repeated.limit(1).count():
-        return kept
-    once = kept.join(bounded(repeated), kept["doc_id"] == F.col("removed_id"), "left_anti")
-    more = kept.join(bounded(repeated), kept["doc_id"] == F.col("removed_id"), "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(more)
+    rows = freeze(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    groups = set_join.link_components(rows, SHINGLE_WORDS, SIMILARITY_PERCENT, id_col="__row")
+    groups = freeze(groups.withColumnRenamed("doc_id", "__row"), "groups")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "__row"))["__row"].alias("first")
+
+    shared = groups.where("n_shingles > 0").groupBy("component_id").count().where("count > 1").select("component_id")
+    linked = groups.where("n_shingles > 0").join(shared, "component_id").select("__row", "component_id")
+    linked = freeze(linked.join(rows.select("__row", "doc_id"), "__row"), "linked")
+    kept = linked.groupBy("component_id").agg(first)
+    removed = linked.join(kept, "component_id").where("__row <> first").select("__row")
+
+    wordless = rows.where("doc_id is not null").join(groups.where("n_shingles = 0").select("__row"), "__row", "left_semi")
+    text = F.col("text").cast("string")
+    once = wordless.groupBy("doc_id", text.alias("text")).agg(F.min("__row").alias("__row"))
+    again = wordless.select("__row").join(once.select("__row"), "__row", "left_anti")
+
+    removed = freeze(removed.union(again), "removed")
+    if removed.count() <= BROADCAST_ROWS:
+        removed = F.broadcast(removed)
+    return rows.join(removed, "__row", "left_anti").select(*docs.columns)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
