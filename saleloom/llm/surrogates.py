@@ -8,19 +8,24 @@ the gender of their title. A name's entity is its surname: with or without given
 name is found behind a title, and without one where the same document has it behind a title.
 
 Distinctness is checked over the whole corpus: normal forms are reduced to distinct ones, grouped by surrogate, and
-where several share one, or one equals an entity of the corpus, all but the first are drawn again.
+where several share one, or one equals an entity of the corpus in any case, all but the first are drawn again. Names,
+mailboxes and secrets with other characters get more room with later draws. What is left of formats with few values
+after that gets the free values in a keyed order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from saleloom.operators.work import freeze
 
-ATTEMPTS = 8  # draws for an entity whose surrogate is taken
+ATTEMPTS = 8  # draws for an entity whose surrogate is taken, before values of a small format are dealt
+WIDEN = 2  # from this draw on, open formats get more room
+SMALL = 4  # random characters up to which the values of a format are listed: 26^4 or 10^4 each
+MAX_ATTEMPTS = 200  # more draws mean that a large format is full
 BROADCAST_ROWS = 1_000_000  # corrected rows are broadcast up to so many
 
 _MALE_TITLES = ("Mr", "Mister", "Sir", "Herrn", "Herr", "Monsieur", "Señor", "Sr", "господин")
@@ -263,9 +268,14 @@ def _pick(pool: list[str], n: Column) -> Column:
     return F.element_at(F.array(*[F.lit(x) for x in pool]), n % len(pool) + 1)
 
 
-def _surname(script: str, stream: Column, start: int) -> Column:
-    parts = [_pick(_SYLLABLES[script], _number(stream, F.lit(start + k))) for k in range(4)]
-    return F.initcap(F.concat(*parts))
+def _syllables(script: str, stream: Column, count: Column) -> Column:
+    parts = F.transform(F.sequence(F.lit(1), count), lambda k: _pick(_SYLLABLES[script], _number(stream, k)))
+    return F.initcap(F.array_join(parts, ""))
+
+
+def _surname(script: str, stream: Column, attempt: Column) -> Column:
+    """Four syllables, 16^4 names; from the draw WIDEN on eight."""
+    return _syllables(script, stream, F.when(attempt < WIDEN, 4).otherwise(8))
 
 
 def _by_script(normal: Column, of: Callable[[str], Column]) -> Column:
@@ -277,7 +287,7 @@ def _given(normal: Column, gender: str, stream: Column, attempt: Column) -> Colu
 
     def of(script: str) -> Column:
         pool = _GIVEN[script, gender]
-        second = F.initcap(F.concat(*[_pick(_SYLLABLES[script], _number(stream, F.lit(1 + k))) for k in range(3)]))
+        second = _syllables(script, stream, F.when(attempt < WIDEN, 3).otherwise(8))
         first = _pick(pool, _number(stream, F.lit(0)))
         return F.when(attempt == 0, first).otherwise(F.concat_ws("-", first, second))
 
@@ -285,8 +295,12 @@ def _given(normal: Column, gender: str, stream: Column, attempt: Column) -> Colu
 
 
 def surrogate_of(key: str, kind: Column, normal: Column, attempt: Column) -> Column:
-    """Surrogate of a normal form, itself in normal form."""
-    stream = _stream(key, kind, normal, attempt)
+    """Surrogate of a normal form, itself in normal form. The stream is bound once; copies of it would make a huge plan."""
+    stream = F.array(_stream(key, kind, normal, attempt))
+    return F.get(F.transform(stream, lambda s: _surrogate(key, kind, normal, attempt, s)), F.lit(0))
+
+
+def _surrogate(key: str, kind: Column, normal: Column, attempt: Column, stream: Column) -> Column:
     digits = _digits(F.length(normal), stream)
     prefix = F.regexp_extract(normal, _COUNTRY, 0)
     older = F.substring(normal, F.lit(1), F.greatest(F.length(normal) - 10, F.lit(0)))
@@ -296,6 +310,10 @@ def surrogate_of(key: str, kind: Column, normal: Column, attempt: Column) -> Col
     # Mailboxes of one domain stay together; the domain is one that is reserved for examples.
     domain = F.substring(F.translate(_stream(key, F.lit("domain"), F.substring_index(normal, "@", -1), F.lit(0)), "0123456789", "ghijklmnop"), 1, 10)
     mailbox = _by_character(F.substring_index(normal, "@", 1), stream)
+    more = F.translate(F.substring(stream, 117, 12), "0123456789", "ghijklmnop")
+    mailbox = F.when(attempt < WIDEN, mailbox).otherwise(F.concat(mailbox, more))
+    # A secret of few letters and digits: other characters become letters too.
+    open_secret = F.when(attempt < WIDEN, normal).otherwise(F.regexp_replace(normal, r"[^\p{L}\p{N}]", "a"))
     return (
         F.when(kind == "ip", F.concat_ws(".", *octets))
         .when(kind == "card", _with_check_digit(F.concat(F.substring(normal, 1, 1), F.substring(digits, F.lit(2), F.length(digits)))))
@@ -305,13 +323,53 @@ def surrogate_of(key: str, kind: Column, normal: Column, attempt: Column) -> Col
         .when(kind == "iban", F.concat(F.substring(normal, 1, 2), _by_character(F.substring(normal, F.lit(3), F.length(normal)), stream)))
         .when(kind == "key", F.concat(key_prefix, _by_character(F.substring(normal, F.length(key_prefix) + 1, F.length(normal)), stream)))
         .when(kind == "ip6", F.concat(F.lit("20010db8"), F.substring(stream, 1, 24)))  # the network reserved for examples
-        .when(kind == "name", _by_script(normal, lambda script: _surname(script, stream, 1)))
+        .when(kind == "name", _by_script(normal, lambda script: _surname(script, stream, attempt)))
         .when(kind.startswith("given male "), _given(normal, "male", stream, attempt))
         .when(kind.startswith("given female "), _given(normal, "female", stream, attempt))
-        .otherwise(_by_character(normal, stream))
+        .otherwise(_by_character(open_secret, stream))
     )
 
 
+def _same(kind: Column, value: Column) -> Column:
+    """Real entities and surrogates are compared in this form."""
+    return F.when(kind.isin("name", "email"), F.lower(value)).otherwise(value)
+
+
+def _frame(kind: Column, normal: Column) -> Column:
+    """The format of an entity with at most SMALL random characters, these as 9 or a; null for all others.
+
+    Phone numbers keep their country; only lower-case ASCII secrets and phone numbers have so few.
+    """
+    country = F.regexp_extract(normal, _COUNTRY, 0)
+    free = F.substring(normal, F.length(country) + 1, F.length(normal))
+    nines = F.regexp_replace(free, "[0-9]", "9")
+    phone = F.when((country != "") & (F.length(free) <= SMALL), F.concat(country, nines))
+    shape = F.regexp_replace(F.regexp_replace(normal, "[0-9]", "9"), "[a-z]", "a")
+    secret = F.when((F.length(normal) <= SMALL) & normal.rlike("^[0-9a-z]+$") & ~(normal.rlike("^[0-9a-f]+$") & normal.rlike("[a-f]")), shape)
+    return F.when(kind == "phone", phone).when(kind == "secret", secret)
+
+
+def _deal_free_values(drawn: DataFrame, left: DataFrame, key: str, attempt: int) -> DataFrame:
+    """(kind, normal, surrogate, attempt) for ``left`` (kind, normal): the n-th entity of a format gets its n-th free value, both in a keyed order."""
+    framed = left.withColumn("frame", _frame(F.col("kind"), F.col("normal"))).where("frame is not null")
+
+    def ranked(df: DataFrame, value: str) -> DataFrame:
+        order = F.sha2(F.concat_ws("\x1f", F.lit(key), "kind", F.lit(value), value), 256)
+        return df.withColumn("place", F.row_number().over(Window.partitionBy("kind", "frame").orderBy(order, value)))
+
+    start = F.length(F.regexp_extract("frame", _COUNTRY, 0))
+    values = framed.select("kind", "frame").distinct().withColumn("value", F.substring("frame", F.lit(1), start))
+    for k in range(SMALL):
+        c = F.substring("frame", start + 1 + k, F.lit(1))
+        choices = F.when(c == "9", F.split(F.lit("0123456789"), "")).when(c == "a", F.split(F.lit(_LOWER), "")).otherwise(F.array(F.lit("")))
+        values = values.withColumn("c", F.explode(choices)).withColumn("value", F.concat("value", "c")).drop("c")
+    owned = drawn.join(left, ["kind", "normal"], "left_anti").select("kind", F.col("surrogate").alias("value"))
+    used = owned.union(drawn.select("kind", F.col("normal").alias("value")))
+    free = ranked(values.join(used, ["kind", "value"], "left_anti"), "value")
+    return ranked(framed, "normal").join(free, ["kind", "frame", "place"]).select(
+        "kind", "normal", F.col("value").alias("surrogate"), F.lit(attempt).alias("attempt"))
+
+
 def _laid_out(kind: Column, entity: Column, surrogate: Column, given: Column) -> Column:
     """The surrogate, for names with the one of the given name or null, in the layout of this mention."""
     # Phone numbers from the right: a mention may leave out the country or have 00 before it.
@@ -345,25 +403,37 @@ def distinct_surrogates(entities: DataFrame, key: str, attempts: int = ATTEMPTS)
     """(kind, normal, surrogate, attempt) for distinct (kind, normal): no two of a kind share a surrogate.
 
     Each round finds the surrogates that several entities share, or that are themselves entities of the corpus, and
-    draws all but the least normal form again. Raises an error if some are still taken after the last round (a kind
-    with more entities than its format has values).
+    draws all but the least normal form again, until none is left. After ``attempts`` rounds the entities of small
+    formats get free values. Raises an error only where a format has fewer free values than entities.
     """
+    kind = F.col("kind")
     drawn = entities.select("kind", "normal", F.lit(0).alias("attempt"))
-    for attempt in range(attempts):
-        surrogate = surrogate_of(key, F.col("kind"), F.col("normal"), F.col("attempt"))
-        drawn = freeze(drawn.select("kind", "normal", "attempt", surrogate.alias("surrogate")), "surrogates")
-        owner = drawn.groupBy("kind", "surrogate").agg(
+    dealt = None
+    for attempt in range(MAX_ATTEMPTS):
+        surrogate = surrogate_of(key, kind, F.col("normal"), F.col("attempt"))
+        drawn = drawn.select("kind", "normal", "attempt", surrogate.alias("surrogate"))
+        if dealt is not None:
+            drawn = drawn.join(dealt.select("kind", "normal"), ["kind", "normal"], "left_anti").unionByName(dealt)
+        drawn = freeze(drawn, "surrogates")
+        same = drawn.withColumn("same", _same(kind, F.col("surrogate")))
+        owner = same.groupBy("kind", "same").agg(
             F.min_by("normal", F.struct("attempt", "normal")).alias("owner"), F.count(F.lit(1)).alias("n"))
-        real = drawn.select("kind", F.col("normal").alias("surrogate"), F.lit(True).alias("real"))
-        taken = owner.join(real, ["kind", "surrogate"], "left").where("n > 1 or real")
-        again = drawn.join(taken, ["kind", "surrogate"]).where("real or normal <> owner").select("kind", "normal")
+        # Given names are drawn for each surname, which is never a real one.
+        real = drawn.where(~kind.startswith("given ")).select("kind", _same(kind, F.col("normal")).alias("same"), F.lit(True).alias("real")).distinct()
+        taken = owner.join(real, ["kind", "same"], "left").where("n > 1 or real")
+        again = same.join(taken, ["kind", "same"]).where("real or normal <> owner").select("kind", "normal")
         again = freeze(again, "taken")
         if not again.limit(1).count():
             return drawn
+        if dealt is None and attempt + 1 >= attempts:
+            small = again.where(_frame(kind, F.col("normal")).isNotNull())
+            dealt = freeze(_deal_free_values(drawn, small, key, attempt + 1), "dealt")
+            if dealt.count() < small.count():
+                raise ValueError("surrogates collide: a format has fewer free values than entities")
         next_draw = again.withColumn("again", F.lit(attempt + 1))
         drawn = drawn.join(next_draw, ["kind", "normal"], "left").select(
             "kind", "normal", F.coalesce("again", "attempt").alias("attempt"))
-    raise ValueError(f"surrogates still collide after {attempts} draws")
+    raise ValueError(f"surrogates still collide after {MAX_ATTEMPTS} draws: a format is full")
 
 
 def replace_entities(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
