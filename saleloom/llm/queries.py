@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleloom.llm import chat, hnsw, minhash, packing, piece_codec, quality, set_join, surrogates, token_counts, token_ids
+from saleloom.llm import chat, hnsw, line_dedup, minhash, packing, piece_codec, quality, set_join, surrogates, token_counts, token_ids
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -144,3 +144,31 @@ def op9_minhash_fingerprints(spark, folder):
 def op10_ngram_jaccard_join(spark, folder):
     """Components of all documents under links of 85 percent Jaccard of 4-word shingles."""
     return set_join.link_components(table(spark, folder, "documents"), width=4, percent=85)
+
+
+@query
+def op13_line_dedup(spark, folder):
+    """All documents without the lines that at least ten documents share."""
+    done = line_dedup.drop_shared_lines(table(spark, folder, "documents"), min_chars=1, min_docs=10)
+    return done.select("doc_id", "n_lines", "n_dropped", sha256(F.col("text")).alias("kept_sha256"))
+
+
+ORACLE["op13_line_dedup"] = """
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), cut AS (
+    SELECT r, unnest(range(1, len(lines) + 1)) AS place, unnest(lines) AS line FROM docs
+), keyed AS (
+    SELECT r, place, line,
+           translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM cut
+), shared AS (
+    SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10
+), kept AS (
+    SELECT keyed.r, string_agg(line, chr(10) ORDER BY place) AS text, count(*) AS n
+    FROM keyed ANTI JOIN shared ON keyed.key = shared.key GROUP BY keyed.r
+)
+SELECT doc_id, len(lines) AS n_lines, len(lines) - coalesce(n, 0) AS n_dropped, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept ON docs.r = kept.r
+"""
