@@ -34,11 +34,20 @@ def keys_of(text: Column) -> Column:
 
 
 def _without(lines: Column, dropped: Column) -> Column:
-    """``lines`` without the ascending positions ``dropped``, put together from the runs between them."""
+    """``lines`` without the ascending positions ``dropped``, put together from the runs between them.
+
+    Both arrays are bound to a lambda variable, else they would be made anew for every run.
+    """
     bounds = F.concat(F.array(F.lit(-1)), dropped, F.array(F.size(lines)))
-    run = F.transform(F.sequence(F.lit(0), F.size(dropped)), lambda i: F.slice(
-        lines, F.get(bounds, i) + 2, F.get(bounds, i + 1) - F.get(bounds, i) - 1))
-    return F.flatten(run)
+
+    def kept(both: Column) -> Column:
+        def run(i: Column) -> Column:
+            before, after = F.get(both["bounds"], i), F.get(both["bounds"], i + 1)
+            return F.slice(both["lines"], before + 2, after - before - 1)
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(both["bounds"]) - 2), run))
+
+    return F.transform(F.array(F.struct(lines.alias("lines"), bounds.alias("bounds"))), kept)[0]
 
 
 def drop_shared_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS,
