@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleloom.llm import chat, hnsw, line_dedup, minhash, packing, piece_codec, quality, set_join, surrogates, token_counts, token_ids
+from saleloom.llm import chat, hnsw, line_dedup, minhash, packing, piece_codec, prefix_trie, quality, set_join, surrogates, token_counts, token_ids
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -172,3 +172,58 @@ WITH docs AS (
 SELECT doc_id, len(lines) AS n_lines, len(lines) - coalesce(n, 0) AS n_dropped, sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM docs LEFT JOIN kept ON docs.r = kept.r
 """
+
+
+@query
+def op12_prefix_trie(spark, folder):
+    """Nodes of the prefix trie of all conversations, each rebuilt with a head of its group's first conversation."""
+    return prefix_trie.conversation_trie(table(spark, folder, "conversations"), group=100, heads=6)
+
+
+# The crc32 of a list of bytes: the usual table of 256 steps, then one step a byte.
+CRC_TABLE = """crc AS (
+    SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)),
+        lambda c, k: xor(c >> 1, 3988292384 * (c & 1)))) AS steps
+)"""
+
+ORACLE["op12_prefix_trie"] = f"""
+WITH {CRC_TABLE}, turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT conv_id, xor(4294967295, list_reduce(
+               list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda b: CAST(ascii(b) AS BIGINT))),
+               lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]))) % 6 AS h
+    FROM (SELECT DISTINCT conv_id FROM turns), crc
+), rebuilt AS (
+    SELECT c.conv_id, t.n, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 100 AND t.n <= c.h
+    UNION ALL
+    SELECT c.conv_id, t.n, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.n > c.h
+), numbered AS (
+    SELECT conv_id, text, row_number() OVER w AS depth,
+           sha256(string_agg(length(role) || ':' || length(text) || ':' || role || text, '|') OVER w) AS prefix
+    FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY n)
+), members AS (
+    SELECT conv_id, depth, prefix, length(text) AS chars FROM numbered
+    UNION ALL SELECT conv_id, 0, '', 0 FROM convs
+), sized AS (
+    SELECT *, max(depth) OVER (PARTITION BY conv_id) AS turns FROM members
+), nodes AS (
+    SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs, max(chars) AS chars,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE turns = depth), '')) AS ends_sha256
+    FROM sized GROUP BY depth, prefix
+), linked AS (
+    SELECT n.*, p.conv_id AS parent_conv_id, p.prefix AS parent
+    FROM nodes n LEFT JOIN members m ON m.conv_id = n.conv_id AND m.depth = n.depth - 1
+    LEFT JOIN nodes p ON p.depth = m.depth AND p.prefix = m.prefix
+), counted AS (
+    SELECT l.*, (SELECT count(*) FROM linked k WHERE k.depth = l.depth + 1 AND k.parent = l.prefix) AS n_children FROM linked l
+), below AS (
+    SELECT m.depth, m.prefix, sum(CAST(c.n_children = 0 AS BIGINT)) AS n_leaves, sum((c.n_convs - 1) * c.chars) AS saved_tokens
+    FROM counted c JOIN members m ON m.conv_id = c.conv_id AND m.depth <= c.depth GROUP BY m.depth, m.prefix
+)
+SELECT c.conv_id, c.depth, c.parent_conv_id, c.n_convs, c.n_children, CAST(b.n_leaves AS BIGINT) AS n_leaves,
+       CAST(b.saved_tokens AS BIGINT) AS saved_tokens, c.ends_sha256
+FROM counted c JOIN below b ON b.depth = c.depth AND b.prefix = c.prefix
+"""
