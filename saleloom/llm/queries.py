@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleloom.llm import chat, hnsw, line_dedup, minhash, packing, piece_codec, prefix_trie, quality, set_join, surrogates, token_counts, token_ids
+from saleloom.llm import (chat, hnsw, line_dedup, minhash, packing, piece_codec, prefix_trie, quality, resampling, set_join,
+                          surrogates, token_counts, token_ids)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -227,3 +228,52 @@ SELECT c.conv_id, c.depth, c.parent_conv_id, c.n_convs, c.n_children, CAST(b.n_l
        CAST(b.saved_tokens AS BIGINT) AS saved_tokens, c.ends_sha256
 FROM counted c JOIN below b ON b.depth = c.depth AND b.prefix = c.prefix
 """
+
+
+@query
+def op11_importance_resampling(spark, folder):
+    """Every document's weight towards the benchmark texts, and the rank of the quarter that is drawn."""
+    return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"), percent=25, min_words=20)
+
+
+ORACLE["op11_importance_resampling"] = f"""
+WITH {CRC_TABLE}, texts AS (
+    SELECT row_number() OVER () AS r, doc_id, true AS source, text FROM documents
+    UNION ALL SELECT NULL, NULL, false, text FROM benchmark
+), cut AS (
+    SELECT r, doc_id, source, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS words
+    FROM texts
+), runs AS (
+    SELECT r, doc_id, source, len(words) AS n_words, list_concat(words, list_transform(
+        range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS features
+    FROM cut
+), each AS (
+    SELECT r, source, unnest(features) AS feature FROM runs
+), named AS (
+    SELECT feature, xor(4294967295, list_reduce(
+               list_concat([4294967295], list_transform(regexp_extract_all(hex(encode(feature)), '..'), lambda x: CAST('0x' || x AS BIGINT))),
+               lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]))) % 10000 AS bucket
+    FROM (SELECT DISTINCT feature FROM each), crc
+), totals AS (
+    SELECT bucket, count(*) FILTER (WHERE source) AS s, count(*) FILTER (WHERE NOT source) AS t
+    FROM each JOIN named USING (feature) GROUP BY bucket
+), gains AS (
+    SELECT bucket, CAST(floor(1000 * ln((t + 1.0::DOUBLE) * (sum(s) OVER () + 10000) / ((s + 1.0::DOUBLE) * (sum(t) OVER () + 10000)))) AS BIGINT) AS gain
+    FROM totals
+), weights AS (
+    SELECT r, count(*) AS n, sum(gain) AS total FROM each JOIN named USING (feature) JOIN gains USING (bucket) WHERE source GROUP BY r
+), scored AS (
+    SELECT doc_id, n_words, coalesce(n, 0) AS n_features,
+           CAST(coalesce((total - ((total % n) + n) % n) // n, 0) AS BIGINT) AS weight,
+           CAST(floor(-1000 * ln(-ln((CAST('0x' || substring(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+               / 4294967296))) AS BIGINT) AS noise
+    FROM runs LEFT JOIN weights USING (r) WHERE source
+), ranked AS (
+    SELECT *, weight + noise AS score, n_words >= 20 AS able,
+           row_number() OVER (PARTITION BY n_words >= 20 ORDER BY weight + noise DESC, doc_id NULLS LAST, weight, n_features) AS place,
+           count(*) FILTER (WHERE n_words >= 20) OVER () AS n_able
+    FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= 25 * n_able // 100 THEN place END AS rank FROM ranked
+"""
