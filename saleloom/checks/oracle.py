@@ -7,13 +7,15 @@ from __future__ import annotations
 
 from saleloom import schemas, vocab
 from saleloom.checks import tables
-from saleloom.checks.queries import ID_ORDER, PARETO_COLUMNS
+from saleloom.checks.queries import PARETO_COLUMNS
 from saleloom.operators import forecast as fc
 from saleloom.operators import kpi, outliers, star
 
 ORACLE: dict[str, str] = {}
 
 ALL_JOINS = "lineitem " + " ".join(f"JOIN {t} ON {on}" for t, (_, on) in tables.JOINS.items())
+# Every line with its position in the file, under the name of the table.
+NUMBERED = ALL_JOINS.replace("lineitem ", "(SELECT *, row_number() OVER () - 1 AS line FROM lineitem) lineitem ", 1)
 COPIES = f"JOIN (VALUES (1), (2)) copies(copy) ON copy = 1 OR ({tables.SENT_TWICE})"
 WHITESPACE = r"[\s\x0B\x1c-\x1f\x85\p{Z}]+"
 
@@ -232,6 +234,16 @@ ORACLE["cost_match_rate"] = f"WITH {CLEANED} SELECT {rnd('avg(CASE WHEN has_cost
 
 ORACLE["unified_sales"] = f"WITH {UNIFIED} SELECT {', '.join(schemas.columns(schemas.SALES))} FROM u"
 
+ORACLE["ingest_positions"] = f"""
+    WITH raw_h AS (SELECT {columns_of(tables.RAW_HISTORICAL)}, line * 2 + copy - 1 AS place FROM {NUMBERED} {COPIES} WHERE {tables.HISTORY}),
+    raw_c AS (SELECT {columns_of(tables.RAW_CURRENT)}, line * 2 + copy - 1 AS place FROM {NUMBERED} {COPIES} WHERE NOT ({tables.HISTORY})),
+    h AS ({cleaned(schemas.HISTORICAL, "raw_h", ", place", skip=("month",))}),
+    c AS ({cleaned(schemas.CURRENT, "raw_c", ", place")})
+    SELECT place AS ingest_order, doc_no, coalesce(product_code, '{vocab.LABEL_DEFAULTS["product_code"]}') AS product_code, quantity, gross_sales,
+        '{vocab.SOURCE_HISTORICAL}' AS data_source, row_number() OVER (PARTITION BY {", ".join(HIST_COLUMNS)} ORDER BY place) > 1 AS is_duplicate FROM h
+    UNION ALL SELECT place + 1 + (SELECT max(place) FROM raw_h), doc_no, coalesce(product_code, '{vocab.LABEL_DEFAULTS["product_code"]}'), quantity,
+        gross_sales, '{vocab.SOURCE_CURRENT}', row_number() OVER (PARTITION BY {", ".join(CURRENT_COLUMNS)} ORDER BY place) > 1 FROM c"""
+
 ORACLE["row_ratios"] = f"""
     WITH {VIEW} SELECT doc_no, product_code, margin, discount_rate, return_rate, unit_cost, avg_row_value FROM v"""
 
@@ -349,8 +361,15 @@ ORACLE["dim_channel"] = f"WITH {DIMS} SELECT * FROM dh"
 _UNKNOWN_LAST = f"(customer_name = '{vocab.NO_DATA}')"
 ORACLE["dim_customer_known"] = f"WITH {VIEW} {_dimension('customer_key', 'customer_code', star.CUSTOMER_ATTRS, _UNKNOWN_LAST)}"
 
+_FIRST = ", ".join(f"arg_min_null({c}, line) AS {c}" for c in star.CUSTOMER_ATTRS)
+ORACLE["dim_customer_ingest"] = f"""
+    WITH v AS (SELECT line, {columns_of(tables.VIEW, ["customer_code", *star.CUSTOMER_ATTRS])} FROM {NUMBERED})
+    SELECT row_number() OVER (ORDER BY customer_code) AS customer_key, customer_code, {", ".join(star.CUSTOMER_ATTRS)}
+    FROM (SELECT customer_code, {_FIRST} FROM v GROUP BY customer_code)"""
+
 ORACLE["fact_sales"] = f"""
-    WITH {DIMS}, f AS (SELECT row_number() OVER (ORDER BY {", ".join(f"v.{c}" for c in ID_ORDER)}) AS sales_id,
+    WITH {DIMS.replace(ALL_JOINS, NUMBERED).replace("v0 AS (SELECT ", "v0 AS (SELECT line, ").replace("v1 AS (SELECT ", "v1 AS (SELECT line, ")},
+        f AS (SELECT v.line + 1 AS sales_id,
         CAST(strftime(doc_date, '%Y%m%d') AS INTEGER) AS date_key, dc.customer_key, dp.product_key, dh.channel_key, v.*
         FROM v LEFT JOIN dc ON v.customer_code = dc.customer_code LEFT JOIN dp ON v.product_code = dp.product_code
         LEFT JOIN dh ON v.channel = dh.channel)

@@ -16,6 +16,7 @@ from saleloom.functions.text import clean_text, map_labels, match_key
 from saleloom.operators import forecast as fc
 from saleloom.operators import kpi, outliers, quality, reports, star
 from saleloom.operators.dedup import flag_duplicates
+from saleloom.operators.keys import INGEST
 from saleloom.operators.work import freeze
 from saleloom.plans.cleaning import clean_cost, clean_current, clean_historical
 from saleloom.plans.marts import pareto_mart
@@ -28,7 +29,6 @@ QUERIES: dict[str, Query] = {}
 
 KPI_INPUT = (*kpi.MEASURES, *kpi.COUNTS.values())
 PARETO_COLUMNS = ("revenue_share", "cumulative_share")
-ID_ORDER = ("data_source", "doc_date", "doc_no", "product_code", "branch", "quantity", "gross_sales", "net_revenue", "return_value")
 HISTORY_END = datetime.date(2001, 1, 1)
 FORECAST_KEYS = ("region",)
 
@@ -142,12 +142,12 @@ def _cost(spark, folder):
     return clean_cost(tables.raw_cost(spark, folder))
 
 
-def _current(spark, folder, flag=False):
-    return clean_current(tables.raw_current(spark, folder), _cost(spark, folder), flag=flag)
+def _current(spark, folder, flag=False, ingest=False):
+    return clean_current(tables.raw_current(spark, folder, ingest=ingest), _cost(spark, folder), flag=flag)
 
 
-def _historical(spark, folder, flag=False):
-    return clean_historical(tables.raw_historical(spark, folder), flag=flag)
+def _historical(spark, folder, flag=False, ingest=False):
+    return clean_historical(tables.raw_historical(spark, folder, ingest=ingest), flag=flag)
 
 
 @query
@@ -172,6 +172,13 @@ def unified_sales(spark, folder):
     return unify_sales(_historical(spark, folder, True), _current(spark, folder, True))
 
 
+@query
+def ingest_positions(spark, folder):
+    """Position of every line of both sources in the input, and the flag of the later copies."""
+    sales = unify_sales(_historical(spark, folder, True, True), _current(spark, folder, True, True))
+    return sales.select(INGEST, "doc_no", "product_code", "quantity", "gross_sales", "data_source", "is_duplicate")
+
+
 @query
 def row_ratios(spark, folder):
     columns = ["doc_no", "product_code", "margin", "discount_rate", "return_rate", "unit_cost", "avg_row_value"]
@@ -232,7 +239,7 @@ def _stage_tables(spark, folder):
 
 @query
 def quality_overview(spark, folder):
-    return quality.overviews(_stage_tables(spark, folder))
+    return quality.overviews(_stage_tables(spark, folder), quality.FLAGGED)
 
 
 @query
@@ -301,6 +308,12 @@ def dim_customer_known(spark, folder):
     return star.dim_customer(view, prefer="known")
 
 
+@query
+def dim_customer_ingest(spark, folder):
+    """Attributes of each customer's first line in the input."""
+    return star.dim_customer(tables.sales_view(spark, folder, ["customer_code", *star.CUSTOMER_ATTRS], ingest=True))
+
+
 @query
 def dim_product(spark, folder):
     return star.dim_product(tables.sales_view(spark, folder, ["doc_date", "data_source", "product_code", *star.PRODUCT_ATTRS]))
@@ -315,10 +328,10 @@ def dim_channel(spark, folder):
 def fact_sales(spark, folder):
     columns = set(star.FACT_COLUMNS) - {"sales_id", "date_key", "customer_key", "product_key", "channel_key"}
     wanted = [*sorted(columns), *[c for c in STAR_COLUMNS if c not in columns]]
-    view = tables.sales_view(spark, folder, wanted, spread=True)
+    view = tables.sales_view(spark, folder, wanted, spread=True, ingest=True)
     # The sales table is stored between the stages; each dimension then reads only its own columns.
     view = freeze(view, "sales")
-    return star.fact_sales(view, star.dim_customer(view), star.dim_product(view), star.dim_channel(view), ID_ORDER)
+    return star.fact_sales(view, star.dim_customer(view), star.dim_product(view), star.dim_channel(view))
 
 
 # Marts

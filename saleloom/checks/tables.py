@@ -11,7 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from saleloom import schemas, vocab
 from saleloom.plans.unify import derive_measures
-from saleloom.sources.readers import spread_small
+from saleloom.operators.keys import INGEST
+from saleloom.plans.cleaning import ROW_ORDER
+from saleloom.sources.ingest import number_rows, placed
+from saleloom.sources.readers import read_table, spread_small
 
 # Which columns of the typed view need which join.
 VIEW = {
@@ -165,11 +168,12 @@ def _needed(sql: Iterable[str]) -> list[str]:
     return [t for t in JOINS if t in wanted]
 
 
-def _lines(spark: SparkSession, folder: str, sql: Iterable[str], spread: bool = False) -> DataFrame:
-    """Line items joined to just the tables that the select list mentions."""
-    lines = read(spark, folder, "lineitem")
+def _lines(spark: SparkSession, folder: str, sql: Iterable[str], spread: bool = False, ingest: bool = False) -> DataFrame:
+    """Line items joined to just the tables that the select list mentions; ``ingest`` numbers them in file order."""
+    path = f"{folder}/lineitem.parquet"
+    lines = number_rows(placed(read_table(spark, path, row_order=True), ROW_ORDER)) if ingest else read(spark, folder, "lineitem")
     if spread:
-        lines = spread_small(lines, f"{folder}/lineitem.parquet")
+        lines = spread_small(lines, path)
     for table in _needed(sql):
         left, right = JOINS[table][1].split(" = ")
         other = read(spark, folder, table)
@@ -177,10 +181,11 @@ def _lines(spark: SparkSession, folder: str, sql: Iterable[str], spread: bool =
     return lines
 
 
-def sales_view(spark: SparkSession, folder: str, columns: Iterable[str], spread: bool = False) -> DataFrame:
+def sales_view(spark: SparkSession, folder: str, columns: Iterable[str], spread: bool = False, ingest: bool = False) -> DataFrame:
     """The typed sales table with the wanted columns; only the joins they need are planned.
 
-    ``spread`` distributes a small input over all cores, for queries with much work per row.
+    ``spread`` distributes a small input over all cores, for queries with much work per row. ``ingest`` adds the
+    position of every line in its file.
     """
     wanted = list(columns)
     derived = {"margin", "discount_rate", "return_rate", "avg_row_value", "profit_recomputed"}
@@ -189,28 +194,33 @@ def sales_view(spark: SparkSession, folder: str, columns: Iterable[str], spread:
     if derived.intersection(wanted) or costs.intersection(wanted):
         base = [c for c in VIEW if c in wanted or c in DERIVED_FROM]
     sql = [f"{VIEW[c]} AS {c}" for c in base]
-    view = _lines(spark, folder, sql, spread).selectExpr(*sql)
+    position = [INGEST] if ingest else []
+    view = _lines(spark, folder, sql, spread, ingest).selectExpr(*sql, *position)
     if len(base) != len(wanted) or costs.intersection(wanted):
         view = derive_measures(view)
-    return view.select(*wanted)
+    return view.select(*wanted, *position)
+
+
+# A copy stands right behind its line.
+COPY_POSITION = (f"{INGEST} * 2 + copy - 1 AS {INGEST}",)
 
 
 def _twice(lines: DataFrame) -> DataFrame:
     return lines.selectExpr("*", f"explode(sequence(1, CASE WHEN {SENT_TWICE} THEN 2 ELSE 1 END)) AS copy")
 
 
-def raw_historical(spark: SparkSession, folder: str, columns: Iterable[str] | None = None) -> DataFrame:
+def raw_historical(spark: SparkSession, folder: str, columns: Iterable[str] | None = None, ingest: bool = False) -> DataFrame:
     names = list(columns or schemas.columns(schemas.HISTORICAL))
     sql = [f"{RAW_HISTORICAL[c]} AS {c}" for c in names]
-    lines = _lines(spark, folder, [*sql, HISTORY], spread=True).where(HISTORY)
-    return _twice(lines).selectExpr(*sql)
+    lines = _lines(spark, folder, [*sql, HISTORY], spread=True, ingest=ingest).where(HISTORY)
+    return _twice(lines).selectExpr(*sql, *(COPY_POSITION if ingest else ()))
 
 
-def raw_current(spark: SparkSession, folder: str, columns: Iterable[str] | None = None) -> DataFrame:
+def raw_current(spark: SparkSession, folder: str, columns: Iterable[str] | None = None, ingest: bool = False) -> DataFrame:
     names = list(columns or schemas.columns(schemas.CURRENT))
     sql = [f"{RAW_CURRENT[c]} AS {c}" for c in names]
-    lines = _lines(spark, folder, [*sql, HISTORY], spread=True).where(f"NOT ({HISTORY})")
-    return _twice(lines).selectExpr(*sql)
+    lines = _lines(spark, folder, [*sql, HISTORY], spread=True, ingest=ingest).where(f"NOT ({HISTORY})")
+    return _twice(lines).selectExpr(*sql, *(COPY_POSITION if ingest else ()))
 
 
 def raw_cost(spark: SparkSession, folder: str) -> DataFrame:

@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from saleloom.operators.joins import BROADCAST_BYTES, measured_bytes
+from saleloom.operators.work import freeze
+
 COPIES_PER_TASK_ROW = 100_000
+_HASH = ("__h1", "__h2")
 
 
 def flag_duplicates(df: DataFrame, flag: str = "is_duplicate", chunk: int = COPIES_PER_TASK_ROW) -> DataFrame:
@@ -41,6 +46,50 @@ def flag_duplicates(df: DataFrame, flag: str = "is_duplicate", chunk: int = COPI
     return few.unionByName(many).select(*columns, (F.col(copy) > 1).alias(flag))
 
 
+def row_hash(columns: Sequence[str]) -> list[Column]:
+    """128 bits of a row's content. Equal rows have equal hashes: NULL equals NULL, and 0.0 equals -0.0."""
+    values = [F.col(f"`{c}`") for c in columns]
+    nulls = [v.isNull() for v in values]
+    return [F.xxhash64(*values).alias(_HASH[0]), F.xxhash64(F.lit(1), *values, *nulls).alias(_HASH[1])]
+
+
+def copies(df: DataFrame, columns: Sequence[str], order: str | None = None, hashed: bool = False) -> DataFrame:
+    """The contents of all rows whose hash occurs again: hash, ``columns``, ``__n`` rows and the ``__first`` position.
+
+    ``df`` is read twice and should be stored; ``hashed`` says that it was stored with its ``row_hash``. Hashes of all
+    rows are counted first, 16 bytes a row. Only rows whose hash occurs again are compared, and shuffled, at full width,
+    so the result is exact. Counts are combined before each shuffle, so a row that was sent very often is no bottleneck.
+    """
+    rows = df if hashed else df.select("*", *row_hash(columns))
+    again = rows.groupBy(*_HASH).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(*_HASH)
+    again = freeze(again, "hashes")
+    found = rows.join(F.broadcast(again) if measured_bytes(again) <= BROADCAST_BYTES else again, list(_HASH), "left_semi")
+    first = F.min(order) if order else F.lit(None).cast("long")
+    groups = found.groupBy(*_HASH, *[f"`{c}`" for c in columns]).agg(F.count(F.lit(1)).alias("__n"), first.alias("__first"))
+    return groups
+
+
+def flag_later_copies(df: DataFrame, order: str, flag: str = "is_duplicate") -> DataFrame:
+    """Add a flag that is TRUE for every row that equals an earlier one; ``order`` is a row's position.
+
+    The position takes no part in the comparison. The rows are stored once, with their hashes, and never shuffled as
+    long as the contents that occur again fit a broadcast; each of those is one row of 24 bytes, however often it was
+    sent. Contents are compared in the join only if two of them have been found to share a hash.
+    """
+    columns = [c for c in df.columns if c != order]
+    rows = freeze(df.select("*", *row_hash(columns)), "rows")
+    groups = freeze(copies(rows, columns, order, hashed=True), "copies")
+    contents, hashes = groups.agg(F.count(F.lit(1)), F.count_distinct(*_HASH)).first()
+    compared = columns if contents > hashes else []
+    firsts = groups.where("__n > 1").select(
+        *[F.col(c).alias(f"_{c}") for c in _HASH], *[F.col(f"`{c}`").alias(f"__of_{i}") for i, c in enumerate(compared)], "__first")
+    same = [F.col(c) == F.col(f"_{c}") for c in _HASH] + [F.col(f"`{c}`").eqNullSafe(F.col(f"__of_{i}")) for i, c in enumerate(compared)]
+    small = measured_bytes(firsts) <= BROADCAST_BYTES
+    joined = rows.join(F.broadcast(firsts) if small else firsts, reduce(lambda a, b: a & b, same), "left")
+    later = F.coalesce(F.col(order) > F.col("__first"), F.lit(False))
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], later.alias(flag))
+
+
 def _pick(df: DataFrame, key: str, order_by: Sequence[str], picker) -> DataFrame:
     rest = [c for c in df.columns if c != key]
     best = df.groupBy(key).agg(picker(F.struct(*rest), F.struct(*order_by)).alias("__row"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from saleloom.operators.work import freeze
 
+INGEST = "ingest_order"  # position of a row in its input, 0, 1, ...
 _POSITION_BITS = 33  # layout of monotonically_increasing_id: partition number, then row position
 
 
@@ -46,3 +47,9 @@ def dense_keys(df: DataFrame, key: str, order_by: Sequence[str | Column] = ()) -
     return numbered.join(F.broadcast(offsets), part == offsets["__part"]).select(
         (F.col("__offset") + position + 1).alias(key), *df.columns
     )
+
+
+def is_dense(df: DataFrame, position: str = INGEST) -> bool:
+    """Whether the positions are 0, 1, ..., n - 1. They are distinct by construction, so their ends tell."""
+    low, high, known, rows = df.agg(F.min(position), F.max(position), F.count(position), F.count(F.lit(1))).first()
+    return rows == 0 or (low == 0 and known == rows and high == rows - 1)

@@ -11,14 +11,15 @@ from saleloom import vocab
 from saleloom.functions.dates import date_key, month_label
 from saleloom.operators.dedup import keep_first
 from saleloom.operators.joins import lookup_join
-from saleloom.operators.keys import dense_keys
+from saleloom.operators.keys import INGEST, dense_keys, is_dense
 
-# Historical rows come first; within a source the document date decides.
+# Without a position in the input: historical rows come first, within a source the document date decides.
 SOURCE_ORDER = ("data_source", "doc_date")
 
 CUSTOMER_ATTRS = ("customer_name", "customer_group")
 PRODUCT_ATTRS = ("product_name", "product_group", "product_type")
 
+# Columns of the published fact table, in table order.
 FACT_COLUMNS = (
     "sales_id",
     "date_key",
@@ -54,14 +55,17 @@ def dimension(
     key: str,
     natural: str,
     attrs: Sequence[str] = (),
-    order_by: Sequence[str] = SOURCE_ORDER,
+    order_by: Sequence[str] = (),
     prefer: str = "first",
 ) -> DataFrame:
     """Distinct natural keys sorted and numbered 1..n, with the attributes of their first row.
 
+    The first row is the first in the input if the table carries its positions, else the first in ``SOURCE_ORDER``.
+
     A NULL natural key becomes the "unknown" label before the distinct, so it cannot yield a second
     unknown member. ``prefer="known"`` takes the first row whose name is a real one.
     """
+    order_by = order_by or ((INGEST,) if INGEST in sales.columns else SOURCE_ORDER)
     attrs = [a for a in attrs if a in sales.columns]
     source = sales.withColumn(natural, F.coalesce(F.col(natural).cast("string"), F.lit(vocab.UNKNOWN)))
     if not attrs:
@@ -105,7 +109,14 @@ def fact_sales(
     channels: DataFrame,
     order_by: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per sales line with its surrogate keys; ``sales_id`` counts in ``order_by`` order."""
+    """One row per sales line with its surrogate keys; ``sales_id`` counts in ``order_by`` order.
+
+    Without an order it counts in input order if the table carries its positions. Unless rows were taken out, these are
+    the numbers themselves, and no row is sorted or shuffled.
+    """
+    dense = not order_by and INGEST in sales.columns and is_dense(sales)
+    if not order_by and INGEST in sales.columns:
+        order_by = (INGEST,)
     fact = sales.withColumn("date_key", date_key(F.col("doc_date")))
     for dim, key, natural in (
         (customers, "customer_key", "customer_code"),
@@ -113,6 +124,8 @@ def fact_sales(
         (channels, "channel_key", "channel"),
     ):
         fact = lookup_join(fact, dim.select(natural, key), natural)
+    if dense:
+        return fact.withColumn("sales_id", F.col(INGEST) + 1).select(*FACT_COLUMNS)
     order = [c for c in order_by if c not in FACT_COLUMNS]
     narrow = fact.select(*FACT_COLUMNS[1:], *order)
     return dense_keys(narrow, "sales_id", order_by).select(*FACT_COLUMNS)

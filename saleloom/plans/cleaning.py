@@ -12,8 +12,9 @@ from saleloom.functions.dates import DATE_FORMATS, date_parts, parse_date
 from saleloom.functions.numbers import parse_number
 from saleloom.functions.text import clean_text, map_labels
 from saleloom.operators.columns import require
-from saleloom.operators.dedup import flag_duplicates, keep_last
+from saleloom.operators.dedup import flag_duplicates, flag_later_copies, keep_last
 from saleloom.operators.joins import lookup_join
+from saleloom.operators.keys import INGEST
 
 ROW_ORDER = "row_order"
 
@@ -37,7 +38,14 @@ def _labelled(df: DataFrame, vocabularies: Mapping[str, Mapping[str, str]]) -> D
 
 
 def _flagged(df: DataFrame, flag: bool) -> DataFrame:
-    return flag_duplicates(df) if flag else df.withColumn("is_duplicate", F.lit(False))
+    """With a position in the input all copies but the first are flagged; without one, any of them stays unflagged."""
+    if not flag:
+        return df.withColumn("is_duplicate", F.lit(False))
+    return flag_later_copies(df, INGEST) if INGEST in df.columns else flag_duplicates(df)
+
+
+def _carried(raw: DataFrame) -> list[str]:
+    return [INGEST] if INGEST in raw.columns else []
 
 
 def clean_historical(
@@ -56,7 +64,7 @@ def clean_historical(
     its shuffle of whole rows, is left out.
     """
     labelled = _labelled(
-        typed(raw, schemas.HISTORICAL, date_formats),
+        typed(raw, schemas.HISTORICAL, date_formats, _carried(raw)),
         {
             "channel": channels,
             "product_group": product_groups,
@@ -119,7 +127,7 @@ def clean_current(
 ) -> DataFrame:
     """Current sales with date parts, cost, profit, flags and provenance."""
     labelled = _labelled(
-        typed(raw, schemas.CURRENT, date_formats),
+        typed(raw, schemas.CURRENT, date_formats, _carried(raw)),
         {"channel": channels, "product_group": product_groups, "customer_group": customer_groups},
     )
     dated = labelled.withColumns(date_parts(F.col("doc_date")))

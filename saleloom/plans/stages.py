@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleloom.operators import forecast as fc
-from saleloom.operators.quality import overviews
+from saleloom.operators.keys import INGEST
+from saleloom.operators.quality import FLAGGED, overviews
 from saleloom.operators.work import freeze
 from saleloom.plans.cleaning import ROW_ORDER, clean_cost, clean_current, clean_historical
 from saleloom.plans.marts import all_marts
@@ -54,6 +55,11 @@ class Layout:
         return f"{self.output}/bundle"
 
 
+def _stored(tables: Mapping[str, DataFrame], fmt: str) -> dict[str, DataFrame]:
+    """Tables that are published in a text format are stored once first: every reader then finds typed, finished rows."""
+    return dict(tables) if fmt == "parquet" else {n: freeze(df, n) for n, df in tables.items()}
+
+
 def _republished(spark: SparkSession, paths: Mapping[str, str], tables: Mapping[str, DataFrame], fmt: str):
     """The tables as they were written: later stages read files instead of repeating the work."""
     if fmt != "parquet":
@@ -86,21 +92,22 @@ def run_cleaning(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     sheets = sheet_paths(layout.historical, children(spark, layout.historical))
     cost_input = load_cost(spark, layout.cost, layout.input_format)
     raw = {
-        "raw_sales_historical": load_historical(spark, sheets, layout.input_format),
-        "raw_sales_current": load_current(spark, layout.current, layout.input_format),
+        "raw_sales_historical": load_historical(spark, sheets, layout.input_format, ingest=True),
+        "raw_sales_current": load_current(spark, layout.current, layout.input_format, ingest=True),
         "raw_cost": cost_input.drop(ROW_ORDER),
     }
+    raw |= _stored({"raw_sales_historical": raw["raw_sales_historical"]}, fmt)
     clean = {"sales_historical_clean": clean_historical(raw["raw_sales_historical"]), "cost_clean": clean_cost(cost_input)}
-    staged = {**raw, **clean}
+    staged = _stored({**raw, **clean}, fmt)
     done = publish(spark, layout.staging, staged, fmt, also_keep=["sales_current_clean"])
     staged = _republished(spark, done, staged, fmt)
-    current = clean_current(staged["raw_sales_current"], staged["cost_clean"])
+    current = _stored({"current": clean_current(staged["raw_sales_current"], staged["cost_clean"])}, fmt)["current"]
     current_path = f"{layout.staging}/sales_current_clean"
     write_table(current, current_path, fmt)
     staged |= _republished(spark, {"sales_current_clean": current_path}, {"sales_current_clean": current}, fmt)
 
     sales = unify_sales(staged["sales_historical_clean"], staged["sales_current_clean"])
-    final = {"sales_final": sales}
+    final = _stored({"sales_final": sales}, fmt)
     by = {"sales_final": ["year"]} if fmt == "parquet" else {}
     done = publish(spark, layout.clean, final, fmt, by, also_keep=["data_quality_overview"])
     final = _republished(spark, done, final, fmt)
@@ -112,7 +119,7 @@ def run_cleaning(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
         "sales_current_clean",
         "cost_clean",
     ]
-    quality = overviews({**{n: staged[n] for n in order}, **final})
+    quality = overviews({n: df.drop(INGEST) for n, df in {**{n: staged[n] for n in order}, **final}.items()}, FLAGGED, stored=True)
     quality_path = f"{layout.clean}/data_quality_overview"
     write_table(quality, quality_path, fmt)
     checked = _republished(spark, {"data_quality_overview": quality_path}, {"data_quality_overview": quality}, fmt)
@@ -120,13 +127,13 @@ def run_cleaning(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
 
 
 def _sales(spark: SparkSession, layout: Layout, sales: DataFrame | None) -> DataFrame:
-    return load_sales(spark, f"{layout.clean}/sales_final", layout.output_format) if sales is None else sales
+    return load_sales(spark, f"{layout.clean}/sales_final", layout.output_format, ingest=True) if sales is None else sales
 
 
 def run_marts(spark: SparkSession, layout: Layout, sales: DataFrame | None = None) -> dict[str, DataFrame]:
     """Publish the star schema and the marts, one table each."""
     fmt = layout.output_format
-    marts = all_marts(_sales(spark, layout, sales))
+    marts = _stored(all_marts(_sales(spark, layout, sales)), fmt)
     paths = publish(spark, layout.mart, marts, fmt)
     return _republished(spark, paths, marts, fmt)
 
@@ -163,7 +170,7 @@ def run_forecast(
 ) -> dict[str, DataFrame]:
     """Publish the forecast tables; the comparison goes with the marts."""
     fmt = layout.output_format
-    tables = forecast_tables(_sales(spark, layout, sales), history_end, horizon)
+    tables = _stored(forecast_tables(_sales(spark, layout, sales), history_end, horizon), fmt)
     comparison = {"forecast_vs_actual": tables["forecast_vs_actual"]}
     model = {n: df for n, df in tables.items() if n not in comparison}
     paths = publish(spark, layout.model, model, fmt)
@@ -181,7 +188,7 @@ def run_all(
     model = run_forecast(spark, layout, cleaning["sales_final"], history_end)
     bundle = {
         "data_quality": cleaning["data_quality_overview"],
-        "sales_final": cleaning["sales_final"],
+        "sales_final": cleaning["sales_final"].drop(INGEST),
         **model,
         **marts,
     }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from saleloom import schemas, vocab
 from saleloom.functions.numbers import nan_to_null, ratio
 from saleloom.functions.text import clean_text
+from saleloom.operators.keys import INGEST
 
 DERIVED = ("margin", "discount_rate", "return_rate", "avg_row_value")
 ALIGNED = [c for c in schemas.columns(schemas.SALES) if c not in DERIVED]
@@ -15,7 +16,9 @@ ALIGNED = [c for c in schemas.columns(schemas.SALES) if c not in DERIVED]
 
 def _aligned(df: DataFrame, overrides) -> DataFrame:
     dtypes = schemas.types(schemas.SALES)
-    return df.select(*[overrides.get(c, F.col(c) if c in df.columns else F.lit(None)).cast(dtypes[c]).alias(c) for c in ALIGNED])
+    carried = [INGEST] if INGEST in df.columns else []
+    aligned = [overrides.get(c, F.col(c) if c in df.columns else F.lit(None)).cast(dtypes[c]).alias(c) for c in ALIGNED]
+    return df.select(*aligned, *carried)
 
 
 def align_historical(hist: DataFrame) -> DataFrame:
@@ -30,9 +33,19 @@ def align_current(current: DataFrame) -> DataFrame:
 
 
 def unify_sales(hist: DataFrame, current: DataFrame) -> DataFrame:
-    """Both sources in the 38-column layout; every input row is kept."""
+    """Both sources in the 38-column layout; every input row is kept.
+
+    If both carry their position in the input, so does the result: historical rows first, the current ones after them.
+    """
+    first, second = align_historical(hist), align_current(current)
+    if INGEST in first.columns and INGEST in second.columns:
+        before = hist.select(F.coalesce(F.max(INGEST) + 1, F.lit(0).cast("long"))).scalar()
+        second = second.withColumn(INGEST, F.col(INGEST) + before)
+    else:
+        first, second = first.drop(INGEST), second.drop(INGEST)
     # Both sources were cleaned, and cleaning twice changes nothing.
-    return add_analysis_columns(align_historical(hist).unionByName(align_current(current)), clean=False)
+    unified = add_analysis_columns(first.unionByName(second), clean=False)
+    return unified.select(*schemas.columns(schemas.SALES), *[c for c in unified.columns if c == INGEST])
 
 
 def add_analysis_columns(sales: DataFrame, clean: bool = True) -> DataFrame:

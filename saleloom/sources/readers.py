@@ -12,8 +12,10 @@ from pyspark.sql import types as T
 from saleloom import schemas
 from saleloom.functions.text import clean_text
 from saleloom.operators.columns import existing, normalize_columns
+from saleloom.operators.keys import INGEST
 from saleloom.plans.cleaning import ROW_ORDER
 from saleloom.sources.files import exists, size
+from saleloom.sources.ingest import number_rows, placed
 
 SMALL_BYTES_PER_CORE = 16 * 1024 * 1024
 
@@ -64,19 +66,30 @@ def union_tagged(parts: Mapping[str, DataFrame], tag: str = "source_sheet") -> D
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
+def _source(spark: SparkSession, path: str, fmt: str, layout, ingest: bool, rank: int, options: Mapping[str, str]) -> DataFrame:
+    rows = read_table(spark, path, fmt, row_order=ingest, **options)
+    return _named(spread_small(placed(rows, ROW_ORDER, rank) if ingest else rows, path), layout)
+
+
 def load_historical(
-    spark: SparkSession, partitions: Mapping[str, str], fmt: str = "parquet", **options: str
+    spark: SparkSession, partitions: Mapping[str, str], fmt: str = "parquet", ingest: bool = False, **options: str
 ) -> DataFrame:
-    """Historical sales from several partitions (name -> path), e.g. one per year."""
+    """Historical sales from several partitions (name -> path), e.g. one per year.
+
+    ``ingest`` adds the position of every row in the input: partitions in the given order, then files by path.
+    """
     parts = {
-        name: _named(spread_small(read_table(spark, path, fmt, **options), path), schemas.HISTORICAL)
-        for name, path in partitions.items()
+        name: _source(spark, path, fmt, schemas.HISTORICAL, ingest, rank, options)
+        for rank, (name, path) in enumerate(partitions.items())
     }
-    return union_tagged(parts)
+    stacked = union_tagged(parts)
+    return number_rows(stacked) if ingest else stacked
 
 
-def load_current(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
-    return _named(spread_small(read_table(spark, path, fmt, **options), path), schemas.CURRENT)
+def load_current(spark: SparkSession, path: str, fmt: str = "parquet", ingest: bool = False, **options: str) -> DataFrame:
+    """Current sales; ``ingest`` adds the position of every row in the input."""
+    rows = _source(spark, path, fmt, schemas.CURRENT, ingest, 0, options)
+    return number_rows(rows) if ingest else rows
 
 
 def load_cost(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
@@ -87,8 +100,11 @@ def _named(df: DataFrame, layout) -> DataFrame:
     return schemas.to_canonical(normalize_columns(df), layout)
 
 
-def load_sales(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The published unified sales table, typed, with its text columns cleaned again."""
+def load_sales(spark: SparkSession, path: str, fmt: str = "parquet", ingest: bool = False) -> DataFrame:
+    """The published unified sales table, typed, with its text columns cleaned again.
+
+    ``ingest`` keeps the position of every row in the input, if the table was published with it.
+    """
     if not exists(spark, path):
         raise FileNotFoundError(f"{path} does not exist: run the cleaning stage first")
     names = schemas.columns(schemas.SALES)
@@ -96,9 +112,11 @@ def load_sales(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
         # The file's own header may carry business names.
         raw = read_table(spark, path, fmt)
         df = schemas.to_canonical(raw.toDF(*[c.lstrip("\ufeff") for c in raw.columns]), schemas.SALES)
-        df = df.select(*[F.col(c).try_cast(t).alias(c) for c, t in schemas.types(schemas.SALES).items()])
+        kept = [F.col(INGEST).cast("long").alias(INGEST)] if ingest and INGEST in df.columns else []
+        df = df.select(*[F.col(c).try_cast(t).alias(c) for c, t in schemas.types(schemas.SALES).items()], *kept)
     else:
-        df = schemas.to_canonical(read_table(spark, path, fmt), schemas.SALES).select(*names)
+        df = schemas.to_canonical(read_table(spark, path, fmt), schemas.SALES)
+        df = df.select(*names, *([INGEST] if ingest and INGEST in df.columns else []))
     return df.withColumns({c: clean_text(F.col(c)) for c in schemas.names_of_type(schemas.SALES, schemas.STR)})
 
 
