@@ -19,7 +19,7 @@ def parse(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--input-format", default="parquet")
     parser.add_argument("--output-format", default="parquet")
     parser.add_argument("--history-end", type=datetime.date.fromisoformat, help="first month to forecast, YYYY-MM-DD")
-    parser.add_argument("--stage", choices=("all", "clean", "mart", "forecast"), default="all")
+    parser.add_argument("--stage", choices=("all", "clean", "mart", "forecast", "report"), default="all")
     return parser.parse_args(argv)
 
 
@@ -35,6 +35,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         stages.run_marts(spark, layout)
     elif options.stage == "forecast":
         stages.run_forecast(spark, layout, history_end=options.history_end)
+    elif options.stage == "report":
+        stages.run_reports(spark, layout)
     else:
         stages.run_all(spark, layout, options.history_end)
 

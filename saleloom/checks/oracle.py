@@ -416,10 +416,13 @@ ORACLE["mart_pareto_customer_group"] = f"""
     WITH {VIEW}, g AS ({kpi_block(kpi.PARETO_GRAIN)}), p AS ({_shares("g", "customer_group, period")})
     SELECT {kpi_columns(kpi.PARETO_GRAIN)}, {_SHARE_COLUMNS} FROM p"""
 
-_QUARTER, _CHANNEL = kpi.GRAINS["mart_time_quarter"], kpi.GRAINS["mart_quarter_channel"]
+_GRAINS = {**kpi.GRAINS, "mart_pareto_customer_group": kpi.PARETO_GRAIN}
+_BLOCKS = ", ".join(f"g_{n} AS ({kpi_block(g)})" for n, g in _GRAINS.items())
+_STACKED = [f"SELECT '{n}' AS mart, {kpi_columns(g)} FROM g_{n}" for n, g in kpi.GRAINS.items()]
+_STACKED.append(f"SELECT 'mart_pareto_customer_group' AS mart, {kpi_columns(kpi.PARETO_GRAIN)}, {_SHARE_COLUMNS} FROM p")
 ORACLE["marts_one_pass"] = f"""
-    WITH {VIEW}, a AS ({kpi_block(_QUARTER)}), b AS ({kpi_block(_CHANNEL)})
-    SELECT {kpi_columns(_QUARTER)} FROM a UNION ALL BY NAME SELECT {kpi_columns(_CHANNEL)} FROM b"""
+    WITH {VIEW}, {_BLOCKS}, p AS ({_shares("g_mart_pareto_customer_group", "customer_group, period")})
+    {" UNION ALL BY NAME ".join(_STACKED)}"""
 
 # Reports
 
@@ -459,6 +462,24 @@ ORACLE["monthly_trend"] = f"""
     SELECT year, month, CAST(year AS STRING) || '-' || lpad(CAST(month AS STRING), 2, '0') AS period_key, {_SUMS_OUT},
         {rnd("CAST(net_revenue AS DOUBLE) / 1e9", 8, "net_revenue_bn")}, {rnd("CAST(profit AS DOUBLE) / 1e9", 8, "profit_bn")} FROM g"""
 
+
+
+def _positions(name: str, label: str, by: str, order: str, where: str) -> str:
+    grouped = f"SELECT {by}, {exact('net_revenue')} AS net_revenue FROM v WHERE {where} GROUP BY {by}"
+    return f"""SELECT '{name}' AS report, row_number() OVER (ORDER BY {order}) AS position, year, {label} AS label,
+        {rnd("net_revenue", 4)} FROM ({grouped})"""
+
+
+_EARLY = "month(doc_date) <= 5"
+ORACLE["report_positions"] = f"WITH {VIEW} " + " UNION ALL ".join(
+    [
+        _positions("report_kpi", "CAST(NULL AS STRING)", "year", "year", _EARLY),
+        _positions("report_month_trend", "year_month", "year, month, year_month, period", "year, month", "TRUE"),
+        *[_positions(n, c, f"year, {c}", f"year, net_revenue DESC, {c}", _EARLY)
+          for n, c in (("report_channel", "channel"), ("report_product_group", "product_group"), ("report_pareto", "customer_group"))],
+    ]
+)
+
 # Outliers
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,8 @@ from saleloom.operators.dedup import flag_duplicates
 from saleloom.operators.keys import INGEST
 from saleloom.operators.work import freeze
 from saleloom.plans.cleaning import clean_cost, clean_current, clean_historical
-from saleloom.plans.marts import pareto_mart
+from saleloom.plans.marts import kpi_marts, pareto_mart
+from saleloom.plans.reports import ORDERS, POSITION, ordered
 from saleloom.plans.unify import align_current, align_historical, fill_labels, unify_sales
 from saleloom.sources.readers import spread_small, union_tagged
 
@@ -359,12 +361,12 @@ def mart_pareto_customer_group(spark, folder):
 
 @query
 def marts_one_pass(spark, folder):
-    """Two marts from the shared one-pass base, stacked."""
-    grains = [kpi.GRAINS["mart_time_quarter"], kpi.GRAINS["mart_quarter_channel"]]
-    columns = dict.fromkeys([*grains[0], *grains[1], *KPI_INPUT])
-    base = kpi.kpi_base(tables.sales_view(spark, folder, columns), grains)
-    marts = [kpi.kpi_from_base(base, g) for g in grains]
-    return rounded(marts[0].unionByName(marts[1], allowMissingColumns=True), **KPI_DIGITS)
+    """The ten marts as the mart stage builds them, from the stored sales table, stacked with their names."""
+    columns = dict.fromkeys([*[c for g in kpi.GRAINS.values() for c in g], *kpi.PARETO_GRAIN, *KPI_INPUT])
+    marts = kpi_marts(freeze(tables.sales_view(spark, folder, columns, spread=True), "sales"))
+    named = [df.withColumn("mart", F.lit(name)) for name, df in marts.items()]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
+    return rounded(stacked, **KPI_DIGITS, **_digits(PARETO_COLUMNS, 8))
 
 
 # Reports
@@ -411,6 +413,27 @@ def monthly_trend(spark, folder):
     return rounded(trend, net_revenue=4, profit=4, net_revenue_bn=8, profit_bn=8, margin=8)
 
 
+@query
+def report_positions(spark, folder):
+    """Five reports as they are published, with the position of every row."""
+    names = {"report_kpi": "year_month", "report_month_trend": "period_key", "report_channel": "channel",
+             "report_product_group": "product_group", "report_pareto": "customer_group"}
+    columns = ["year", "month", "year_month", "period", "doc_date", "channel", "product_group", "customer_group", *KPI_INPUT]
+    view = freeze(tables.sales_view(spark, folder, columns, spread=True), "sales")
+    found = {
+        "report_kpi": reports.ytd_kpi(view).withColumn("year_month", F.lit(None).cast("string")),
+        "report_month_trend": reports.monthly_trend(kpi.aggregate_kpi(view, kpi.GRAINS["mart_time_month"])),
+        "report_channel": reports.ytd_channel(view),
+        "report_product_group": reports.ytd_product_group(view),
+        "report_pareto": reports.ytd_pareto(view),
+    }
+    stacked = [
+        ordered(df, ORDERS[n]).select(F.lit(n).alias("report"), POSITION, "year", F.col(names[n]).alias("label"), "net_revenue")
+        for n, df in found.items()
+    ]
+    return rounded(reduce(DataFrame.unionByName, stacked), net_revenue=4)
+
+
 # Outliers
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,14 +53,16 @@ def kpi_ratios() -> dict[str, Column]:
 def aggregate_kpi(sales: DataFrame, by: Sequence[str], approximate: bool = False) -> DataFrame:
     """The KPI block at one grain. NULL grain values form their own group.
 
-    The distinct counts are exact unless ``approximate`` asks for sketches, which need no second shuffle.
+    The distinct counts are exact unless ``approximate`` asks for sketches, which need no second shuffle. Exact ones are
+    made apart from the sums (see ``kpi_base``), so no measure is repeated for them.
     """
-    count = F.approx_count_distinct if approximate else F.count_distinct
+    if not approximate:
+        return kpi_from_base(kpi_base(sales, [by]), by)
     return (
         sales.groupBy(*by)
         .agg(
             *[stable_sum(F.col(m)).alias(m) for m in MEASURES],
-            *[count(F.col(c)).alias(n) for n, c in COUNTS.items()],
+            *[F.approx_count_distinct(c).alias(n) for n, c in COUNTS.items()],
         )
         .withColumns(kpi_ratios())
     )
@@ -67,35 +71,34 @@ def aggregate_kpi(sales: DataFrame, by: Sequence[str], approximate: bool = False
 _KIND, _MEMBER = "kind", "member"
 
 
-def kpi_base(sales: DataFrame, grains: Iterable[Sequence[str]]) -> DataFrame:
-    """Reduced table that answers the KPI block at every one of ``grains``.
+class KpiBase(NamedTuple):
+    """Sums of all measures, and distinct documents, customers and products, per combination of all grain columns."""
 
-    Per combination of all grain columns it holds one row of sums and one row per distinct document,
-    customer and product. One pass over the sales lines replaces one pass (each with a four-fold
-    expansion for its three distinct counts) per mart.
+    sums: DataFrame
+    members: DataFrame
+
+
+def kpi_base(sales: DataFrame, grains: Iterable[Sequence[str]]) -> KpiBase:
+    """Reduced tables that answer the KPI block at every one of ``grains``, each from one scan of its own columns.
+
+    The measures are summed without being repeated for the distinct counts. The counted columns are listed without any
+    measure and made distinct once; distinct members of a coarser grain follow from those.
     """
     by = list(dict.fromkeys(c for g in grains for c in g))
-    facts = F.struct(F.lit("sums").alias(_KIND), F.lit(None).cast("string").alias(_MEMBER), *MEASURES)
-    blank = [F.lit(None).cast("double").alias(m) for m in MEASURES]
-    members = [
-        F.struct(F.lit(n).alias(_KIND), F.col(c).cast("string").alias(_MEMBER), *blank) for n, c in COUNTS.items()
-    ]
-    return (
-        sales.select(*by, F.explode(F.array(facts, *members)).alias("part"))
-        .select(*by, "part.*")
-        .groupBy(*by, _KIND, _MEMBER)
-        .agg(*[stable_sum(F.col(m)).alias(m) for m in MEASURES])
-    )
+    sums = sales.groupBy(*by).agg(*[stable_sum(F.col(m)).alias(m) for m in MEASURES])
+    listed = [F.struct(F.lit(n).alias(_KIND), F.col(c).cast("string").alias(_MEMBER)) for n, c in COUNTS.items()]
+    members = sales.select(*by, F.inline(F.array(*listed))).where(F.col(_MEMBER).isNotNull()).distinct()
+    return KpiBase(sums, members)
 
 
-def kpi_from_base(base: DataFrame, by: Sequence[str]) -> DataFrame:
+def kpi_from_base(base: KpiBase, by: Sequence[str]) -> DataFrame:
     """The KPI block at one grain of a ``kpi_base``: members are made distinct first, then counted."""
-    members = base.groupBy(*by, _KIND, _MEMBER).agg(*[stable_sum(F.col(m)).alias(m) for m in MEASURES])
-    return (
-        members.groupBy(*by)
-        .agg(
-            *[stable_sum(F.col(m)).alias(m) for m in MEASURES],
-            *[F.count(F.when(F.col(_KIND) == n, F.col(_MEMBER))).alias(n) for n in COUNTS],
-        )
-        .withColumns(kpi_ratios())
-    )
+    same_grain = set(base.sums.columns) == {*by, *MEASURES}
+    sums = base.sums if same_grain else base.sums.groupBy(*by).agg(*[stable_sum(F.col(m)).alias(m) for m in MEASURES])
+    members = base.members if same_grain else base.members.select(*by, _KIND, _MEMBER).distinct()
+    counted = members.groupBy(*[F.col(c).alias(f"__{c}") for c in by])
+    counts = counted.agg(*[F.count(F.when(F.col(_KIND) == n, 1)).alias(f"__n_{n}") for n in COUNTS])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by])
+    zero = F.lit(0).cast("long")
+    found = sums.join(counts, same, "left")
+    return found.select(*by, *MEASURES, *[F.coalesce(f"__n_{n}", zero).alias(n) for n in COUNTS]).withColumns(kpi_ratios())

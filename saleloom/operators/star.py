@@ -77,9 +77,9 @@ def dimension(
 
 
 def dim_date(sales: DataFrame) -> DataFrame:
-    """One row per distinct document date and its parts."""
+    """One row per distinct document date and its parts, in date order (no date last)."""
     parts = ("doc_date", "year", "month", "quarter", "year_month")
-    return sales.select(*parts).distinct().select(
+    return sales.select(*parts).distinct().orderBy(F.asc_nulls_last("doc_date")).select(
         date_key(F.col("doc_date")).alias("date_key"),
         "doc_date",
         "year",

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from saleloom.operators.kpi import GRAINS, PARETO_GRAIN, aggregate_kpi, kpi_base, kpi_from_base
-from saleloom.operators.reports import pareto
+from saleloom.operators.kpi import GRAINS, PARETO_GRAIN, KpiBase, aggregate_kpi, kpi_base, kpi_from_base
+from saleloom.operators.reports import pareto, ranked
 from saleloom.operators.star import star_schema
 from saleloom.operators.work import freeze
 
@@ -21,10 +22,15 @@ def customer_pareto(sales: DataFrame) -> DataFrame:
 
 
 def kpi_marts(sales: DataFrame) -> dict[str, DataFrame]:
-    """The nine KPI marts and the Pareto mart from one pass over the sales lines."""
-    base = freeze(kpi_base(sales, [*GRAINS.values(), PARETO_GRAIN]), "kpi-base")
-    marts = {name: kpi_from_base(base, grain) for name, grain in GRAINS.items()}
-    return {**marts, "mart_pareto_customer_group": pareto_mart(kpi_from_base(base, PARETO_GRAIN))}
+    """The nine KPI marts and the Pareto mart, all from one reduced copy of the sales lines.
+
+    The rows of a KPI mart are ordered by its grain, those of the Pareto mart by year and falling revenue.
+    """
+    base = kpi_base(sales, [*GRAINS.values(), PARETO_GRAIN])
+    base = KpiBase(freeze(base.sums, "kpi-sums"), freeze(base.members, "kpi-members"))
+    marts = {name: kpi_from_base(base, grain).orderBy(*[F.asc_nulls_last(c) for c in grain]) for name, grain in GRAINS.items()}
+    pareto_rows = pareto_mart(kpi_from_base(base, PARETO_GRAIN))
+    return {**marts, "mart_pareto_customer_group": ranked(pareto_rows, "net_revenue", ties=["customer_group", "period"])}
 
 
 def all_marts(sales: DataFrame, order_by: Sequence[str] = (), prefer: str = "first") -> dict[str, DataFrame]:

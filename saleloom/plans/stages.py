@@ -9,12 +9,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from saleloom import vocab
 from saleloom.operators import forecast as fc
 from saleloom.operators.keys import INGEST
 from saleloom.operators.quality import FLAGGED, overviews
 from saleloom.operators.work import freeze
 from saleloom.plans.cleaning import ROW_ORDER, clean_cost, clean_current, clean_historical
 from saleloom.plans.marts import all_marts
+from saleloom.plans.reports import ordered_reports
 from saleloom.plans.unify import unify_sales
 from saleloom.sources.files import children, require_inputs
 from saleloom.sources.readers import load_cost, load_current, load_historical, load_sales, read_table
@@ -50,6 +52,10 @@ class Layout:
     def model(self) -> str:
         return f"{self.output}/model"
 
+    @property
+    def report(self) -> str:
+        return f"{self.output}/report"
+
     @property
     def bundle(self) -> str:
         return f"{self.output}/bundle"
@@ -138,13 +144,34 @@ def run_marts(spark: SparkSession, layout: Layout, sales: DataFrame | None = Non
     return _republished(spark, paths, marts, fmt)
 
 
+def run_reports(spark: SparkSession, layout: Layout, sales: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Publish the reports, each in its display order with a ``position``."""
+    fmt = layout.output_format
+    tables = ordered_reports(_sales(spark, layout, sales))
+    paths = publish(spark, layout.report, tables, fmt)
+    return _republished(spark, paths, tables, fmt)
+
+
+def first_current_month(sales: DataFrame) -> datetime.date | None:
+    """First month of the current source, if there is history before it; else None."""
+    source, date = F.col("data_source"), F.col("doc_date")
+    first = F.min(F.when(source == vocab.SOURCE_CURRENT, date)).alias("first")
+    found = sales.agg(first, F.min(F.when(source == vocab.SOURCE_HISTORICAL, date)).alias("known")).first()
+    if found["first"] is None or found["known"] is None:
+        return None
+    month = found["first"].date().replace(day=1)
+    return month if found["known"].date() < month else None
+
+
 def forecast_tables(
     sales: DataFrame, history_end: datetime.date | None = None, horizon: int = fc.HORIZON
 ) -> dict[str, DataFrame]:
     """Monthly base, features, backtest, metrics, forecast and comparison (see ``operators.forecast``).
 
-    The forecast knows only the months before ``history_end``; without it, all months.
+    The forecast knows only the months before ``history_end``. By default history ends where the current source begins,
+    so that the forecast months can be compared with their sales; with one source only, all months are known.
     """
+    history_end = history_end or first_current_month(sales)
     # A small table that every later step reads.
     monthly = freeze(fc.monthly_base(sales), "monthly-base")
     features = fc.monthly_features(monthly)
@@ -193,4 +220,5 @@ def run_all(
         **marts,
     }
     publish_bundle(spark, layout.bundle, bundle, "csv")
-    return {"cleaning": cleaning, "marts": marts, "model": model}
+    reports = run_reports(spark, layout, cleaning["sales_final"])
+    return {"cleaning": cleaning, "marts": marts, "model": model, "reports": reports}

@@ -12,6 +12,7 @@ from saleloom import schemas
 from saleloom.checks import tables
 from saleloom.operators import kpi
 from saleloom.plans import stages
+from saleloom.plans.reports import ORDERS
 from saleloom.sources import files, readers, writers
 
 FOLDER = "/root/testdata/sf0.001"
@@ -127,6 +128,16 @@ def test_whole_run(spark, inputs, tmp_path, fmt):
     assert published("model") == {"monthly_model_base", "monthly_model_data", "backtest_revenue", "model_revenue_metrics", "forecast_revenue"}
     assert "fact_sales" not in published("bundle") and len(published("bundle")) == 22
 
+    assert published("report") == set(ORDERS)
+    for name, order in {"report_kpi": ["year"], "report_month_trend": ["year", "month"], "report_pareto": ["year"]}.items():
+        rows = sorted(result["reports"][name].collect(), key=lambda r: int(r["position"]))
+        assert [int(r["position"]) for r in rows] == list(range(1, len(rows) + 1))
+        values = [tuple(r[c] for c in order) for r in rows if r["year"] is not None]
+        assert values == sorted(values) and rows[-1]["year"] in (None, max(v[0] for v in values))
+    facts = readers.load_mart(spark, layout.mart, "fact_sales", fmt).select(F.col("sales_id").cast("long"), "doc_no")
+    lines = result["cleaning"]["sales_final"].select((F.col("ingest_order") + 1).alias("sales_id"), "doc_no")
+    assert facts.exceptAll(lines).count() == 0 and lines.exceptAll(facts).count() == 0
+
     quality = {r["table_name"]: r for r in result["cleaning"]["data_quality_overview"].collect()}
     assert len(quality) == 7
     final = quality["sales_final"]

@@ -334,3 +334,15 @@ def test_every_hot_key_is_salted(spark):
     assert joined.count() == 12_000
     assert joined.where("w <> k * 2 OR w IS NULL").count() == 0
     assert joined.columns == ["k", "v", "w"]
+
+
+def test_history_ends_where_the_current_source_begins(spark):
+    rows = [(vocab.SOURCE_HISTORICAL, "2025-11-30"), (vocab.SOURCE_CURRENT, "2026-01-17"), (vocab.SOURCE_CURRENT, None)]
+    df = spark.createDataFrame(rows, "data_source string, d string").withColumn("doc_date", F.to_timestamp("d"))
+    assert stages.first_current_month(df) == datetime.date(2026, 1, 1)
+    assert stages.first_current_month(df.where(F.col("data_source") == vocab.SOURCE_CURRENT)) is None
+
+
+def test_dates_are_in_order(spark, sales):
+    dates = [r["doc_date"] for r in star.dim_date(sales).collect()]
+    assert dates == sorted(dates, key=lambda d: (d is None, d or datetime.datetime.min))
