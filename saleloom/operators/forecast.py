@@ -32,7 +32,7 @@ def monthly_base(sales: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     months = (
         sales.filter(F.col("doc_date").isNotNull())
         .groupBy(*by, month)
-        .agg(stable_sum(F.col("net_revenue")).alias("net_revenue"))
+        .agg(stable_sum("net_revenue").alias("net_revenue"))
     )
     whole = Window.partitionBy(*_series(by))
     following = F.lead("month_start").over(whole.orderBy("month_start"))
@@ -132,7 +132,7 @@ def forecast_vs_actual(predicted: DataFrame, sales: DataFrame, by: Sequence[str]
     actual = (
         sales.filter(F.col("doc_date").isNotNull())
         .groupBy(*by, F.trunc("doc_date", "month").alias("month_start"))
-        .agg(stable_sum(F.col("net_revenue")).alias("actual"))
+        .agg(stable_sum("net_revenue").alias("actual"))
         .withColumnsRenamed({c: f"a_{c}" for c in [*by, "month_start"]})
     )
     on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"a_{c}")) for c in [*by, "month_start"]])

@@ -61,7 +61,7 @@ def aggregate_kpi(sales: DataFrame, by: Sequence[str], approximate: bool = False
     return (
         sales.groupBy(*by)
         .agg(
-            *[stable_sum(F.col(m)).alias(m) for m in MEASURES],
+            *[stable_sum(m).alias(m) for m in MEASURES],
             *[F.approx_count_distinct(c).alias(n) for n, c in COUNTS.items()],
         )
         .withColumns(kpi_ratios())
@@ -85,7 +85,7 @@ def kpi_base(sales: DataFrame, grains: Iterable[Sequence[str]]) -> KpiBase:
     measure and made distinct once; distinct members of a coarser grain follow from those.
     """
     by = list(dict.fromkeys(c for g in grains for c in g))
-    sums = sales.groupBy(*by).agg(*[stable_sum(F.col(m)).alias(m) for m in MEASURES])
+    sums = sales.groupBy(*by).agg(*[stable_sum(m).alias(m) for m in MEASURES])
     listed = [F.struct(F.lit(n).alias(_KIND), F.col(c).cast("string").alias(_MEMBER)) for n, c in COUNTS.items()]
     members = sales.select(*by, F.inline(F.array(*listed))).where(F.col(_MEMBER).isNotNull()).distinct()
     return KpiBase(sums, members)
@@ -94,7 +94,7 @@ def kpi_base(sales: DataFrame, grains: Iterable[Sequence[str]]) -> KpiBase:
 def kpi_from_base(base: KpiBase, by: Sequence[str]) -> DataFrame:
     """The KPI block at one grain of a ``kpi_base``: members are made distinct first, then counted."""
     same_grain = set(base.sums.columns) == {*by, *MEASURES}
-    sums = base.sums if same_grain else base.sums.groupBy(*by).agg(*[stable_sum(F.col(m)).alias(m) for m in MEASURES])
+    sums = base.sums if same_grain else base.sums.groupBy(*by).agg(*[stable_sum(m).alias(m) for m in MEASURES])
     members = base.members if same_grain else base.members.select(*by, _KIND, _MEMBER).distinct()
     counted = members.groupBy(*[F.col(c).alias(f"__{c}") for c in by])
     counts = counted.agg(*[F.count(F.when(F.col(_KIND) == n, 1)).alias(f"__n_{n}") for n in COUNTS])

@@ -66,8 +66,8 @@ def ytd_kpi(sales: DataFrame, through_month: int = YTD_MONTH) -> DataFrame:
         year_to_date(sales, through_month)
         .groupBy("year")
         .agg(
-            stable_sum(F.col("net_revenue")).alias("net_revenue"),
-            stable_sum(F.col("profit")).alias("profit"),
+            stable_sum("net_revenue").alias("net_revenue"),
+            stable_sum("profit").alias("profit"),
             F.count_distinct("doc_no").alias("orders"),
             F.count_distinct("customer_code").alias("customers"),
             F.count_distinct("product_code").alias("products"),
@@ -94,8 +94,8 @@ def ytd_channel(sales: DataFrame, through_month: int = YTD_MONTH) -> DataFrame:
         year_to_date(sales, through_month)
         .groupBy("year", "channel")
         .agg(
-            stable_sum(F.col("net_revenue")).alias("net_revenue"),
-            stable_sum(F.col("profit")).alias("profit"),
+            stable_sum("net_revenue").alias("net_revenue"),
+            stable_sum("profit").alias("profit"),
             F.count(F.lit(1)).alias("row_count"),
         )
         .withColumn("margin", ratio(F.col("profit"), F.col("net_revenue")))
@@ -130,9 +130,9 @@ def ytd_product_group(sales: DataFrame, through_month: int = YTD_MONTH) -> DataF
         year_to_date(sales, through_month)
         .groupBy("year", "product_group")
         .agg(
-            stable_sum(F.col("net_revenue")).alias("net_revenue"),
-            stable_sum(F.col("profit")).alias("profit"),
-            stable_sum(F.col("quantity")).alias("quantity"),
+            stable_sum("net_revenue").alias("net_revenue"),
+            stable_sum("profit").alias("profit"),
+            stable_sum("quantity").alias("quantity"),
             F.count_distinct("product_code").alias("products"),
         )
         .withColumn("margin", ratio(F.col("profit"), F.col("net_revenue")))
@@ -143,7 +143,7 @@ def ytd_pareto(sales: DataFrame, through_month: int = YTD_MONTH) -> DataFrame:
     groups = (
         year_to_date(sales, through_month)
         .groupBy("year", "customer_group")
-        .agg(stable_sum(F.col("net_revenue")).alias("net_revenue"))
+        .agg(stable_sum("net_revenue").alias("net_revenue"))
         .filter(F.col("year").isNotNull())
     )
     return pareto(groups, "net_revenue", ["customer_group"])
