@@ -19,6 +19,7 @@ def parse(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--input-format", default="parquet")
     parser.add_argument("--output-format", default="parquet")
     parser.add_argument("--history-end", type=datetime.date.fromisoformat, help="first month to forecast, YYYY-MM-DD")
+    parser.add_argument("--date-format", action="append", help="format of dates, may be repeated; by default the data decide")
     parser.add_argument("--stage", choices=("all", "clean", "mart", "forecast", "report"), default="all")
     return parser.parse_args(argv)
 
@@ -30,7 +31,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     )
     spark = session()
     if options.stage == "clean":
-        stages.run_cleaning(spark, layout)
+        stages.run_cleaning(spark, layout, options.date_format)
     elif options.stage == "mart":
         stages.run_marts(spark, layout)
     elif options.stage == "forecast":
@@ -38,7 +39,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif options.stage == "report":
         stages.run_reports(spark, layout)
     else:
-        stages.run_all(spark, layout, options.history_end)
+        stages.run_all(spark, layout, options.history_end, options.date_format)
 
 
 if __name__ == "__main__":

@@ -216,6 +216,16 @@ ORACLE["parse_numbers"] = f"""
 
 ORACLE["parse_dates"] = f"WITH {RAW} SELECT {date('doc_date')} AS doc_date, count(*) AS row_count FROM raw_h GROUP BY 1"
 
+_ISO_DAY = "try_strptime(doc_date, '%Y-%m-%d')"
+_SLASHED = "try_strptime(doc_date, '%d/%m/%Y')"
+ORACLE["date_election"] = f"""
+    WITH {RAW}, r AS (SELECT doc_date FROM raw_h UNION ALL SELECT doc_date FROM raw_c),
+    d AS (SELECT doc_date, day({_ISO_DAY}) AS d, day({_SLASHED}) AS s FROM r)
+    SELECT 'doc_date' AS column_name, count(doc_date) AS texts, count(*) FILTER (WHERE s > 12) AS only_day_first, CAST(0 AS BIGINT) AS only_month_first,
+        count(*) FILTER (WHERE s <= 12) AS either, count(*) FILTER (WHERE doc_date IS NOT NULL AND d IS NULL AND s IS NULL) AS rejected, TRUE AS day_first FROM d
+    UNION ALL SELECT 'month_first', count(d), 0, count(*) FILTER (WHERE d > 12), count(*) FILTER (WHERE d <= 12), 0, FALSE FROM d
+    UNION ALL SELECT 'day_first', count(d), count(*) FILTER (WHERE d > 12), 0, count(*) FILTER (WHERE d <= 12), 0, TRUE FROM d"""
+
 ORACLE["date_columns"] = f"""
     SELECT o_orderkey AS doc_no, {DATE_PARTS.replace("doc_date", "o_orderdate")},
         CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_key,

@@ -16,6 +16,7 @@ from saleloom.functions.numbers import parse_number
 from saleloom.functions.text import clean_text, map_labels, match_key
 from saleloom.operators import forecast as fc
 from saleloom.operators import kpi, outliers, quality, reports, star
+from saleloom.operators.date_formats import elect, election_report
 from saleloom.operators.dedup import flag_duplicates
 from saleloom.operators.keys import INGEST
 from saleloom.operators.work import freeze
@@ -124,6 +125,15 @@ def parse_dates(spark, folder):
     return parsed.groupBy("doc_date").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+@query
+def date_election(spark, folder):
+    """How the dates of both sources, written with the day first, with the month first and in mixed forms, elect their order."""
+    raw = tables.raw_historical(spark, folder, ["doc_date"]).unionByName(tables.raw_current(spark, folder, ["doc_date"]))
+    iso = F.to_date(F.when(F.col("doc_date").rlike(r"^\d{4}-"), F.col("doc_date")))
+    df = raw.select("doc_date", F.date_format(iso, "M/d/yyyy").alias("month_first"), F.date_format(iso, "d/M/yyyy HH:mm").alias("day_first"))
+    return election_report(df, elect(df, df.columns))
+
+
 @query
 def date_columns(spark, folder):
     date = F.col("o_orderdate")

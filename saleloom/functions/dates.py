@@ -11,19 +11,32 @@ from pyspark.sql import types as T
 
 from saleloom import vocab
 
-DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "dd/MM/yyyy", "yyyy-MM-dd'T'HH:mm:ss")
+_CLOCKS = ("", " HH:mm", " HH:mm:ss", " HH:mm:ss.SSSSSS")
+_T_CLOCKS = ("'T'HH:mm", "'T'HH:mm:ss", "'T'HH:mm:ss.SSSSSS", "'T'HH:mm:ssXXX", "'T'HH:mm:ss.SSSSSSXXX")
+ISO_FORMATS = (*[f"yyyy-MM-dd{c}" for c in (*_CLOCKS, *_T_CLOCKS)], *[f"yyyy/M/d{c}" for c in _CLOCKS[:3]])
+DAY_FIRST = tuple(f"d/M/yyyy{c}" for c in _CLOCKS[:3])
+MONTH_FIRST = tuple(f"M/d/yyyy{c}" for c in _CLOCKS[:3])
+
+# Tried in this order: the frequent shapes first. Where both orders of day and month are possible, the day is first;
+# ``operators.date_formats.elect`` decides by the data of a whole column instead.
+DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "dd/MM/yyyy", "yyyy-MM-dd'T'HH:mm:ss",
+                *[f for f in (*ISO_FORMATS, *DAY_FIRST) if f not in ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss")])
 
 
 def _shape(date_format: str) -> str | None:
     """Regular expression of the texts that could fit a purely numeric format, else None."""
-    parts = re.findall(r"'([^']*)'|([yMdHms]+)|([A-Za-z]+)|([^A-Za-z']+)", date_format)
-    if any(letters or len(field) > 2 and field[0] != "y" for _, field, letters, _ in parts):
+    parts = re.findall(r"'([^']*)'|(y+|M+|d+|H+|m+|s+|S+|XXX)|([A-Za-z]+)|([^A-Za-z']+)", date_format)
+    if any(letters or len(field) > 2 and field[0] not in "ySX" for _, field, letters, _ in parts):
         return None
-    digits = {1: r"\d{1,2}"}
-    return "^" + "".join(
-        digits.get(len(field), rf"\d{{{len(field)}}}") if field else re.escape(quoted or other)
-        for quoted, field, _, other in parts
-    ) + "$"
+
+    def digits(field: str) -> str:
+        if field == "XXX":
+            return r"(?:Z|[+-]\d{2}:\d{2})"
+        if field[0] == "S":
+            return rf"\d{{1,{len(field)}}}"
+        return r"\d{1,2}" if len(field) == 1 else rf"\d{{{len(field)}}}"
+
+    return "^" + "".join(digits(field) if field else re.escape(quoted or other) for quoted, field, _, other in parts) + "$"
 
 
 def _parsed(text: Column, date_format: str) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from saleloom import vocab
 from saleloom.functions.dates import period_key
 from saleloom.functions.numbers import ratio, stable_sum
+from saleloom.operators.work import freeze
 
 BILLION = 1e9
 YTD_MONTH = 5
@@ -108,6 +109,7 @@ def channel_pivot(by_channel: DataFrame, channels: Sequence[str] | None = None,
     The columns are the channels of the aggregated table, at most ``most``: a wider pivot is an error. If a list is
     passed, it fixes the columns and their order, and a channel outside it is an error.
     """
+    by_channel = freeze(by_channel, "channels")  # a small aggregate that is read three times
     found = by_channel.where(F.col("channel").isNotNull()).select("channel").distinct().orderBy("channel").limit(most + 1)
     names = [r[0] for r in found.collect()]
     if len(names) > most:

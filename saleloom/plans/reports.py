@@ -11,7 +11,6 @@ from saleloom import schemas
 from saleloom.operators import outliers, quality, reports
 from saleloom.operators.keys import dense_keys
 from saleloom.operators.kpi import GRAINS, aggregate_kpi
-from saleloom.operators.work import freeze
 
 POSITION = "position"
 
@@ -46,7 +45,7 @@ def ordered(report: DataFrame, order: Sequence[str]) -> DataFrame:
 
 def report_tables(sales: DataFrame, through_month: int = reports.YTD_MONTH) -> dict[str, DataFrame]:
     """All reports over the unified sales table, unordered."""
-    channels = freeze(reports.ytd_channel(sales, through_month), "channels")
+    channels = reports.ytd_channel(sales, through_month)
     flagged = outliers.flag_outliers(sales.select("net_revenue", "product_group"), ["net_revenue"])
     return {
         "report_scope": quality.scope_by_year(sales),

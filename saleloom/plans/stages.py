@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from saleloom import vocab
 from saleloom.operators import forecast as fc
+from saleloom.functions.dates import DATE_FORMATS
+from saleloom.operators.date_formats import elect
 from saleloom.operators.keys import INGEST
 from saleloom.operators.quality import FLAGGED, overviews
 from saleloom.operators.work import freeze
@@ -87,9 +89,19 @@ def sheet_paths(folder: str, names: Sequence[str]) -> dict[str, str]:
     return sheets
 
 
-def run_cleaning(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
+def _formats(raw: DataFrame, date_formats: Sequence[str] | None) -> Sequence[str]:
+    """The given date formats, else those that the document dates of the table elect."""
+    if date_formats:
+        return date_formats
+    elected = elect(raw, ["doc_date"]) if "doc_date" in raw.columns else {}
+    return elected["doc_date"].formats if elected else DATE_FORMATS
+
+
+def run_cleaning(spark: SparkSession, layout: Layout, date_formats: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """Read, clean, enrich, unify; publish three raw and three clean tables, the sales table, the overview.
 
+    ``date_formats`` are tried in order; without them each source elects whether day or month comes first.
+
     Each published Parquet table is read back and feeds the next step, so nothing is cleaned twice and a
     lost executor costs one task.
     """
@@ -103,11 +115,12 @@ def run_cleaning(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
         "raw_cost": cost_input.drop(ROW_ORDER),
     }
     raw |= _stored({"raw_sales_historical": raw["raw_sales_historical"]}, fmt)
-    clean = {"sales_historical_clean": clean_historical(raw["raw_sales_historical"]), "cost_clean": clean_cost(cost_input)}
+    clean = {"sales_historical_clean": clean_historical(raw["raw_sales_historical"], date_formats=_formats(raw["raw_sales_historical"], date_formats)), "cost_clean": clean_cost(cost_input)}
     staged = _stored({**raw, **clean}, fmt)
     done = publish(spark, layout.staging, staged, fmt, also_keep=["sales_current_clean"])
     staged = _republished(spark, done, staged, fmt)
-    current = _stored({"current": clean_current(staged["raw_sales_current"], staged["cost_clean"])}, fmt)["current"]
+    current = _stored({"current": clean_current(
+        staged["raw_sales_current"], staged["cost_clean"], date_formats=_formats(staged["raw_sales_current"], date_formats))}, fmt)["current"]
     current_path = f"{layout.staging}/sales_current_clean"
     write_table(current, current_path, fmt)
     staged |= _republished(spark, {"sales_current_clean": current_path}, {"sales_current_clean": current}, fmt)
@@ -207,10 +220,10 @@ def run_forecast(
 
 
 def run_all(
-    spark: SparkSession, layout: Layout, history_end: datetime.date | None = None
+    spark: SparkSession, layout: Layout, history_end: datetime.date | None = None, date_formats: Sequence[str] | None = None
 ) -> dict[str, dict[str, DataFrame]]:
     """Clean, build marts, forecast, and publish everything but the fact as one bundle."""
-    cleaning = run_cleaning(spark, layout)
+    cleaning = run_cleaning(spark, layout, date_formats)
     marts = run_marts(spark, layout, cleaning["sales_final"])
     model = run_forecast(spark, layout, cleaning["sales_final"], history_end)
     bundle = {

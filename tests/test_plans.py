@@ -15,7 +15,7 @@ from saleloom.checks import tables
 from saleloom.operators import kpi, outliers, quality, reports, star
 from saleloom.operators import forecast as fc
 from saleloom.operators.joins import lookup_join
-from saleloom.plans import cleaning, marts, unify
+from saleloom.plans import cleaning, marts, stages, unify
 from saleloom.plans.stages import sheet_paths
 
 FOLDER = "/root/testdata/sf0.001"
