@@ -91,14 +91,24 @@ def kpi_base(sales: DataFrame, grains: Iterable[Sequence[str]]) -> KpiBase:
     return KpiBase(sums, members)
 
 
+def with_distinct_counts(grouped: DataFrame, rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``grouped`` (one row per ``by``) with the exact ``COUNTS`` of ``rows``, whose measures are not repeated for them."""
+    listed = [F.struct(F.lit(n).alias(_KIND), F.col(c).cast("string").alias(_MEMBER)) for n, c in COUNTS.items()]
+    members = rows.select(*by, F.inline(F.array(*listed))).where(F.col(_MEMBER).isNotNull()).distinct()
+    return _joined_counts(grouped, members, by)
+
+
+def _joined_counts(grouped: DataFrame, members: DataFrame, by: Sequence[str]) -> DataFrame:
+    counted = members.groupBy(*[F.col(c).alias(f"__{c}") for c in by])
+    counts = counted.agg(*[F.count(F.when(F.col(_KIND) == n, 1)).alias(f"__n_{n}") for n in COUNTS])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by])
+    found, zero = grouped.join(counts, same, "left"), F.lit(0).cast("long")
+    return found.select(*grouped.columns, *[F.coalesce(f"__n_{n}", zero).alias(n) for n in COUNTS])
+
+
 def kpi_from_base(base: KpiBase, by: Sequence[str]) -> DataFrame:
     """The KPI block at one grain of a ``kpi_base``: members are made distinct first, then counted."""
     same_grain = set(base.sums.columns) == {*by, *MEASURES}
     sums = base.sums if same_grain else base.sums.groupBy(*by).agg(*[stable_sum(m).alias(m) for m in MEASURES])
     members = base.members if same_grain else base.members.select(*by, _KIND, _MEMBER).distinct()
-    counted = members.groupBy(*[F.col(c).alias(f"__{c}") for c in by])
-    counts = counted.agg(*[F.count(F.when(F.col(_KIND) == n, 1)).alias(f"__n_{n}") for n in COUNTS])
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by])
-    zero = F.lit(0).cast("long")
-    found = sums.join(counts, same, "left")
-    return found.select(*by, *MEASURES, *[F.coalesce(f"__n_{n}", zero).alias(n) for n in COUNTS]).withColumns(kpi_ratios())
+    return _joined_counts(sums.select(*by, *MEASURES), members, by).withColumns(kpi_ratios())
