@@ -212,9 +212,10 @@ ORACLE["label_defaults"] = f"""
         count(*) AS row_count FROM raw_c GROUP BY 1, 2, 3, 4"""
 
 ORACLE["parse_numbers"] = f"""
-    WITH {RAW} SELECT doc_no, product_code, {", ".join(f"{number(c)} AS {c}" for c in ("gross_sales", "quantity", "profit"))} FROM raw_h"""
+    WITH {RAW} SELECT doc_no, product_code, {", ".join(f"{number(c)} AS {c}" for c in ("gross_sales", "quantity", "profit"))} FROM raw_h
+    UNION ALL SELECT doc_no, product_code, {number("gross_sales")}, {number("quantity")}, 0 FROM raw_c"""
 
-ORACLE["parse_dates"] = f"WITH {RAW} SELECT {date('doc_date')} AS doc_date, count(*) AS row_count FROM raw_h GROUP BY 1"
+ORACLE["parse_dates"] = f"WITH {RAW} SELECT {date('doc_date')} AS doc_date, count(*) AS row_count FROM (SELECT doc_date FROM raw_h UNION ALL SELECT doc_date FROM raw_c) GROUP BY 1"
 
 _ISO_DAY = "try_strptime(doc_date, '%Y-%m-%d')"
 _SLASHED = "try_strptime(doc_date, '%d/%m/%Y')"

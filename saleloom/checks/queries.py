@@ -112,15 +112,17 @@ def label_defaults(spark, folder):
 
 @query
 def parse_numbers(spark, folder):
-    raw = tables.raw_historical(spark, folder, ["doc_no", "product_code", "gross_sales", "quantity", "profit"])
-    return raw.select(
-        "doc_no", "product_code", *[parse_number(F.col(c)).alias(c) for c in ("gross_sales", "quantity", "profit")]
-    )
+    """Number columns of both sources; the current one has no profit and typed quantities."""
+    figures = ("gross_sales", "quantity", "profit")
+    raw = tables.raw_historical(spark, folder, ["doc_no", "product_code", *figures])
+    current = tables.raw_current(spark, folder, ["doc_no", "product_code", "gross_sales", "quantity"])
+    both = raw.unionByName(current.withColumn("quantity", F.col("quantity").cast("string")), allowMissingColumns=True)
+    return both.select("doc_no", "product_code", *[parse_number(F.col(c)).alias(c) for c in figures])
 
 
 @query
 def parse_dates(spark, folder):
-    raw = tables.raw_historical(spark, folder, ["doc_date"])
+    raw = tables.raw_historical(spark, folder, ["doc_date"]).unionByName(tables.raw_current(spark, folder, ["doc_date"]))
     parsed = raw.select(parse_date(F.col("doc_date")).alias("doc_date"))
     return parsed.groupBy("doc_date").agg(F.count(F.lit(1)).alias("row_count"))
 
