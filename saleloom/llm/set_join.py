@@ -4,17 +4,17 @@ With threshold t (in percent), two sets of sizes a and b link when 100 * overlap
 least t percent of either size, and each side misses at most (100 - t) percent of its own.
 
 * Small sets list all their subsets of those sizes as keys: linked small sets share the key of their overlap.
-* Large sets list a prefix of their shingles in hash order, ``size - needed + slack`` of them; linked sets share the
-  ``slack`` first shingles of their overlap. A set is dropped once fewer than ``slack`` of its listed shingles occur
-  in any other set left, which removes nearly all sets without a partner before a pair is formed. What is left is
-  listed again by parts: shingles are dealt by hash to more parts than linked sets may differ in, so that linked sets
-  agree in a whole part, while sets that only resemble each other rarely do.
+* Large sets list a prefix of their shingles, rarest first (``rare_lists``): linked sets share the smallest shingle of
+  their overlap. A pair is formed only where its sizes and the places of the shared shingle leave room for a link.
 * A set size is small while its subsets cost less than scanning its inverted lists (``boundary``). Sets near the
   boundary list both kinds of keys, so that a pair across it is found by the prefix.
 
 Sets that are equal form one class. A list links its members to a hub, the member whose lists are longest, instead of
-to each other; verified links merge into components, and only lists of parts that still hold several components are
-scanned member by member. So a group of n near copies costs about n pairs, and yet no link between components is lost.
+to each other; verified links merge into components, and only pairs across components are formed from the lists
+afterwards. So a group of n near copies costs about n pairs, and yet no link between components is lost.
+
+``link`` does the same for keys that others list (bands). It scans the rest by parts: shingles are dealt by hash to more
+parts than linked sets may differ in, so that linked sets agree in a whole part.
 """
 
 from __future__ import annotations
@@ -32,10 +32,10 @@ from pyspark.sql import functions as F
 
 from saleloom.llm.chunks import slices
 from saleloom.llm.components import components
+from saleloom.llm.rare_lists import SLICE_BYTES, SLICE_ROWS, flat_sets, frequent_names, name_counts, rare_lists, set_classes
 from saleloom.llm.shingles import mix, shingle_sets
 from saleloom.operators.work import freeze
 
-SLACK = 5  # percent of a set's size by which its prefix is longer than the least exact one
 SCAN_ROWS = 8  # rows of an inverted list that are scanned for one prefix shingle, for the cost of the boundary
 HUB_ROUNDS = 2  # the first on the listed keys, the others on parts
 SPARE_PARTS = 3  # parts beyond the least number, so that parts which happen to be empty need no key
@@ -49,17 +49,13 @@ def needed(size: int, percent: int) -> int:
     return -(-percent * size // 100)
 
 
-def slack_of(size: int) -> int:
-    return max(1, SLACK * size // 100)
-
-
 def boundary(percent: int) -> int:
     """Largest small size: listing its subsets costs no more rows than scanning its inverted lists."""
     size = 1
     while True:
         least = needed(size + 1, percent)
         subsets = sum(comb(size + 1, k) for k in range(least, size + 2))
-        if subsets > SCAN_ROWS * (size + 1 - least + slack_of(size + 1)):
+        if subsets > SCAN_ROWS * (size + 1 - least + 1):
             return size
         size += 1
 
@@ -71,18 +67,6 @@ def _subset_keys(found: np.ndarray, least: int) -> np.ndarray:
     return mix(np.array(sums, dtype=np.uint64) ^ _SUBSET_SEED)
 
 
-def _keys(found: np.ndarray, percent: int, small: int) -> np.ndarray:
-    """Keys of one set (ascending distinct shingles)."""
-    size = len(found)
-    least = needed(size, percent)
-    keys = [np.zeros(0, np.uint64)]
-    if 0 < size <= small:
-        keys.append(_subset_keys(found, least))
-    if size >= needed(small + 1, percent):
-        keys.append(found[: size - least + slack_of(size)])
-    return np.concatenate(keys)
-
-
 @lru_cache(maxsize=8)
 def _size_steps(percent: int) -> list[int]:
     """Lower bounds of size classes such that linked sets are in the same or in neighbouring classes."""
@@ -122,8 +106,7 @@ def _part_keys(found: np.ndarray, percent: int, small: int) -> np.ndarray:
 
 def _class_key(found: np.ndarray) -> int:
     """Hash of a whole set; 64 bits, so that unequal sets share a class with probability pairs / 2**64."""
-    total = mix(np.array([mix(found).sum() + np.uint64(len(found))], dtype=np.uint64))
-    return int(total.view(np.int64)[0])
+    return int(set_classes(found, np.array([0, len(found)])).view(np.int64)[0])
 
 
 def class_rows(texts: pa.Array, width: int) -> list[pa.Array]:
@@ -134,25 +117,32 @@ def class_rows(texts: pa.Array, width: int) -> list[pa.Array]:
 
 
 def _sketch(docs: DataFrame, width: int, percent: int, small: int) -> DataFrame:
-    """doc_id, n_shingles, class (null for an empty set), keys array<long>."""
+    """doc_id, n_shingles, class (null for an empty set), n_names, keys array<long> of small sets, frequent names.
+
+    The names that many sets of a slice hold are in the slice's first row.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            sets = shingle_sets(batch.column(1), width)
-            sizes = [len(s) for s in sets]
-            classes = pa.array([_class_key(s) if len(s) else None for s in sets], pa.int64())
-            keys = [_keys(s, percent, small) for s in sets]
-            flat = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
-            offsets = np.append(0, np.cumsum([len(k) for k in keys])).astype(np.int32)
-            listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), classes, listed],
-                                             ["doc_id", "n_shingles", "class", "keys"])
-
-    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles long, class long, keys array<long>"
+        for batch in slices(batches, SLICE_ROWS, SLICE_BYTES):
+            flat, bounds = flat_sets(batch.column(1), width)
+            sizes = np.diff(bounds)
+            classes = pa.array(set_classes(flat, bounds).view(np.int64), mask=sizes == 0)
+            none = np.zeros(0, np.int64)
+            keys = [_subset_keys(flat[a:b], needed(b - a, percent)).view(np.int64) if 0 < b - a <= small else none
+                    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+            names, sets = frequent_names(flat, bounds)
+            often = [[{"name": int(n), "sets": int(k)} for n, k in zip(names, sets, strict=True)] if i == 0 else [] for i in range(len(sizes))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes), classes, pa.array(name_counts(flat, bounds).astype(np.int64)),
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(often, pa.list_(pa.struct([("name", pa.int64()), ("sets", pa.int64())])))],
+                ["doc_id", "n_shingles", "class", "n_names", "keys", "frequent"])
+
+    schema = (f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles long, class long, n_names long, keys array<long>, "
+              "frequent array<struct<name: long, sets: long>>")
     return docs.mapInArrow(run, schema)
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, width: int, percent: int) -> DataFrame:
+def _sets_of(docs: DataFrame, wanted: DataFrame, width: int, percent: int, with_parts: bool = True) -> DataFrame:
     """(class, items, parts) of the classes that ``wanted`` (class, doc_id) names, from the texts of those documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,7 +150,8 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int, percent: int) -> Da
             sets = shingle_sets(batch.column(1), width)
             classes = pa.array([_class_key(s) if len(s) else None for s in sets], pa.int64())
             items = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
-            parts = pa.array([_part_keys(s, percent, small).view(np.int64) for s in sets], pa.list_(pa.int64()))
+            parts = [_part_keys(s, percent, small).view(np.int64) for s in sets] if with_parts else [None] * len(sets)
+            parts = pa.array(parts, pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([classes, items, parts], ["class", "items", "parts"])
 
     small = boundary(percent)
@@ -230,6 +221,38 @@ def _rest_pairs(lists: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     return met.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()
 
 
+def _component_rows(sketch: DataFrame, sizes: DataFrame, named: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id from the labels of linked classes: class, found_label (``named``)."""
+    label = F.coalesce(F.col("found_label"), F.col("class"))
+    known = sketch.where("class is not null")
+    grouped = sizes.join(named, "class", "left").select("class", "doc_id", label.alias("label"))
+    lowest = grouped.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    component = freeze(grouped.join(lowest, "label").select("class", "component_id"), "component")
+    alone = sketch.where("class is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    joined = known.select("doc_id", "n_shingles", "class").join(component, "class")
+    return joined.select("doc_id", "n_shingles", "component_id").union(alone)
+
+
+def _candidates(lists: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of different labels that share a listed key and may link by their sizes and the key's places.
+
+    ``lists``: class, key, place, n_shingles, label. The larger set looks its whole list up; the smaller one is found by
+    the shingles that a partner of its own size can share. Before their first common shingle two linked sets have no
+    other, so the shingles from there on must suffice for the overlap.
+    """
+    def side(df: DataFrame, tag: str) -> DataFrame:
+        return df.select("key", *[F.col(c).alias(f"{c}_{tag}") for c in ("class", "place", "n_shingles", "label")])
+
+    overlap = F.ceil((F.col("n_shingles_a") + F.col("n_shingles_b")) * percent / (100 + percent))
+    listed = lists.where(F.col("place") <= F.col("n_shingles") - F.ceil(2 * percent * F.col("n_shingles") / (100 + percent)))
+    left = F.least(F.col("n_shingles_a") - F.col("place_a"), F.col("n_shingles_b") - F.col("place_b"))
+    ordered = F.struct("n_shingles_a", "class_a") < F.struct(F.col("n_shingles_b"), F.col("class_b"))
+    met = side(listed, "a").join(side(lists, "b").hint("merge"), "key").where(
+        ordered & (F.col("label_a") != F.col("label_b")) & (left >= overlap)
+        & (100 * F.col("n_shingles_a") >= percent * F.col("n_shingles_b")))
+    return met.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
+
+
 def link_components(docs: DataFrame, width: int = 4, percent: int = 85, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles long (set size), component_id (smallest doc_id reachable by links, its own included).
@@ -240,13 +263,37 @@ def link_components(docs: DataFrame, width: int = 4, percent: int = 85, id_col:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
     small = boundary(percent)
+    smallest = needed(small + 1, percent)
     sketch = freeze(_sketch(texts, width, percent, small), "sketch")
+    known = sketch.where("class is not null")
+    sizes = known.groupBy("class").agg(F.first("n_shingles").alias("n_shingles"), F.first("n_names").alias("n_names"),
+                                       F.min("doc_id").alias("doc_id"))
+    sizes = freeze(sizes, "classes")
 
-    def least(size: Column) -> Column:
-        # A small set may link by a single subset.
-        return F.when(size <= small, 1).otherwise(F.greatest(F.lit(1), F.floor(size * SLACK / 100)))
+    subsets = known.select("class", F.explode("keys").alias("key"), F.lit(0).cast("long").alias("place"), "n_shingles").distinct()
+    frequent = sketch.select(F.inline("frequent"))
+    lists = rare_lists(texts, sizes, frequent, width, percent, smallest).union(subsets)
+    lists = freeze(lists, "lists")
+    shared = freeze(lists.join(_shared(lists), "key", "left_semi"), "shared")
+    spread = shared.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+    weight = shared.join(spread, "key").groupBy("class").agg(F.avg("members").alias("weight"))
+    weight = freeze(weight, "weight")
+    wanted = freeze(sizes.join(weight, "class", "left_semi").select("class", "doc_id"), "wanted")
+    sets = freeze(_sets_of(texts, wanted, width, percent, False).select("class", "items"), "sets")
 
-    return link(sketch, texts, width, percent, least)
+    links, named = None, None
+    for step in range(HUB_ROUNDS + 1):
+        if named is None:
+            labelled = shared.join(weight, "class").withColumn("label", F.col("class"))
+        else:
+            label = F.coalesce(F.col("found_label"), F.col("class")).alias("label")
+            labelled = shared.join(weight, "class").join(named, "class", "left").select(*shared.columns, "weight", label)
+        labelled = freeze(labelled, "labelled")
+        pairs = _hub_pairs(labelled, sizes, percent) if step < HUB_ROUNDS else _candidates(labelled, percent)
+        found = freeze(_verified(freeze(pairs, "pairs"), sets, percent), "links")
+        links = found if links is None else links.union(found)
+        named = components(links).select(F.col("node").alias("class"), F.col("label").alias("found_label"))
+    return _component_rows(sketch, sizes, named)
 
 
 def link(sketch: DataFrame, texts: DataFrame, width: int, percent: int, least: Least) -> DataFrame:
@@ -280,9 +327,4 @@ def link(sketch: DataFrame, texts: DataFrame, width: int, percent: int, least: L
         label = F.coalesce(F.col("found_label"), F.col("class"))
         if step < HUB_ROUNDS:
             labelled = freeze(parts.join(named, "class", "left").select("key", "class", "weight", label.alias("label")), "lists")
-    grouped = sizes.join(named, "class", "left").select("class", "doc_id", label.alias("label"))
-    lowest = grouped.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    component = freeze(grouped.join(lowest, "label").select("class", "component_id"), "component")
-    alone = sketch.where("class is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    joined = known.select("doc_id", "n_shingles", "class").join(component, "class")
-    return joined.select("doc_id", "n_shingles", "component_id").union(alone)
+    return _component_rows(sketch, sizes, named)

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from saleloom.llm import hnsw, minhash, set_join
+from saleloom.llm import hnsw, minhash, rare_lists, set_join
 from saleloom.llm.components import components
 from tests.llm.conftest import TEXTS, prose
 
@@ -76,13 +76,39 @@ def test_parts_alone_lose_no_link():
     for percent in (70, 80, 85, 95):
         small = set_join.boundary(percent)
         parts = [set(set_join._part_keys(s, percent, small).tolist()) if len(s) else set() for s in sets]
-        first = [set(set_join._keys(s, percent, small).tolist()) if len(s) else set() for s in sets]
         for x, a in enumerate(docs):
             for y in range(x):
                 b = docs[y]
                 if a and b and 100 * len(a & b) >= percent * len(a | b):
                     assert parts[x] & parts[y]
-                    assert first[x] & first[y]
+
+
+def test_group_that_resembles_without_linking(spark, monkeypatch):
+    draw = random.Random(5)
+    base = [f"t{i}" for i in range(240)]
+    docs = []
+    for i in range(300):
+        words = list(base)
+        for at in draw.sample(range(len(words)), 9):  # about 0.74 alike in shingles of four words
+            words[at] = f"own{i}x{at}"
+        docs.append((i, " ".join(words)))
+    for i in range(40):
+        docs.append((1000 + i, docs[i][1] + f" tail{i}"))
+    seen = []
+    verified = set_join._verified
+    monkeypatch.setattr(set_join, "_verified", lambda pairs, *rest: seen.append(pairs.count()) or verified(pairs, *rest))
+    found = set_join.link_components(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), 4, 85)
+    assert sorted(map(tuple, found.collect())) == sorted(brute_components(docs, 4, 85))
+    assert sum(seen) <= 20 * len(docs)
+
+
+def test_frequent_shingles_are_listed_last(spark, monkeypatch):
+    monkeypatch.setattr(rare_lists, "LEAST_SETS", 2)
+    monkeypatch.setattr(rare_lists, "BUCKET_SHINGLES", 200)
+    docs = noisy_docs() * 2
+    docs = [(i, text) for i, (_, text) in enumerate(docs)]
+    found = set_join.link_components(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), 4, 85)
+    assert sorted(map(tuple, found.collect())) == sorted(brute_components(docs, 4, 85))
 
 
 def test_link_edge_rows(edge_docs, no_docs):
