@@ -37,7 +37,8 @@ from saleloom.llm.shingles import mix, shingle_sets
 from saleloom.operators.work import freeze
 
 SCAN_ROWS = 8  # rows of an inverted list that are scanned for one prefix shingle, for the cost of the boundary
-HUB_ROUNDS = 2  # the first on the listed keys, the others on parts
+HUB_ROUNDS = 2  # of ``link``: the first on the listed keys, the others on parts
+DRAWN_HUBS = 4  # rounds of ``link_components`` whose hubs are drawn by hash, after one with the longest lists
 SPARE_PARTS = 3  # parts beyond the least number, so that parts which happen to be empty need no key
 BROADCAST_ROWS = 2_000_000  # ids of sets to fetch are broadcast up to so many rows (16 MB)
 _SUBSET_SEED = np.uint64(0x5851F42D4C957F2D)
@@ -282,14 +283,16 @@ def link_components(docs: DataFrame, width: int = 4, percent: int = 85, id_col:
     sets = freeze(_sets_of(texts, wanted, width, percent, False).select("class", "items"), "sets")
 
     links, named = None, None
-    for step in range(HUB_ROUNDS + 1):
+    for step in range(DRAWN_HUBS + 2):
         if named is None:
             labelled = shared.join(weight, "class").withColumn("label", F.col("class"))
         else:
             label = F.coalesce(F.col("found_label"), F.col("class")).alias("label")
             labelled = shared.join(weight, "class").join(named, "class", "left").select(*shared.columns, "weight", label)
+        if step:
+            labelled = labelled.withColumn("weight", F.xxhash64("class", F.lit(step)).cast("double"))
         labelled = freeze(labelled, "labelled")
-        pairs = _hub_pairs(labelled, sizes, percent) if step < HUB_ROUNDS else _candidates(labelled, percent)
+        pairs = _hub_pairs(labelled, sizes, percent) if step <= DRAWN_HUBS else _candidates(labelled, percent)
         found = freeze(_verified(freeze(pairs, "pairs"), sets, percent), "links")
         links = found if links is None else links.union(found)
         named = components(links).select(F.col("node").alias("class"), F.col("label").alias("found_label"))
