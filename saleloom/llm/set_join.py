@@ -42,6 +42,8 @@ DRAWN_HUBS = 4  # rounds of ``link_components`` whose hubs are drawn by hash, af
 SPARE_PARTS = 3  # parts beyond the least number, so that parts which happen to be empty need no key
 BROADCAST_ROWS = 2_000_000  # ids of sets to fetch are broadcast up to so many rows (16 MB)
 _SUBSET_SEED = np.uint64(0x5851F42D4C957F2D)
+_PARITY_SEED = np.uint64(0x2545F4914F6CDD1D)
+PARITY_BITS = 512
 _PART_SEED = np.uint64(0x14057B7EF767814F)
 
 
@@ -143,8 +145,14 @@ def _sketch(docs: DataFrame, width: int, percent: int, small: int) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def _parity(found: np.ndarray) -> np.ndarray:
+    """PARITY_BITS bits of a set: how many of its shingles fall on each bit, modulo 2."""
+    bits = np.bincount((mix(found ^ _PARITY_SEED) % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def _sets_of(docs: DataFrame, wanted: DataFrame, width: int, percent: int, with_parts: bool = True) -> DataFrame:
-    """(class, items, parts) of the classes that ``wanted`` (class, doc_id) names, from the texts of those documents."""
+    """(class, items, parity, parts) of the classes that ``wanted`` (class, doc_id) names, from the texts of those documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -153,14 +161,15 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int, percent: int, with_
             items = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
             parts = [_part_keys(s, percent, small).view(np.int64) for s in sets] if with_parts else [None] * len(sets)
             parts = pa.array(parts, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([classes, items, parts], ["class", "items", "parts"])
+            parity = pa.array([_parity(s) for s in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([classes, items, parity, parts], ["class", "items", "parity", "parts"])
 
     small = boundary(percent)
     ids = wanted.select(F.col("doc_id").alias("wanted_id")).distinct()
     if wanted.count() <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
     chosen = docs.join(ids, docs["doc_id"].eqNullSafe(ids["wanted_id"]), "left_semi")
-    sets = chosen.mapInArrow(run, "class long, items array<long>, parts array<long>")
+    sets = chosen.mapInArrow(run, "class long, items array<long>, parity array<long>, parts array<long>")
     kept = sets.join(wanted.select("class"), "class", "left_semi")
     return kept.dropDuplicates(["class"])  # an id may have several rows
 
@@ -184,6 +193,17 @@ def _live(listed: DataFrame, sizes: DataFrame, least: Least) -> DataFrame:
     return freeze(listed.join(_shared(listed), "key", "left_semi"), "live")
 
 
+def _close(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of (a, b) the pairs whose parity bits allow a link: a shingle of one set alone changes one bit at most."""
+    def side(tag: str) -> DataFrame:
+        return sets.select(F.col("class").alias(tag), F.col("parity").alias(f"parity_{tag}"), F.size("items").alias(f"size_{tag}"))
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    apart = sum((F.bit_count(F.col("parity_a")[i].bitwiseXOR(F.col("parity_b")[i])) for i in range(PARITY_BITS // 64)), F.lit(0))
+    allowed = (100 - percent) * (F.col("size_a") + F.col("size_b"))
+    return both.where((100 + percent) * apart <= allowed).select("a", "b")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of (a, b) the pairs that link, by the overlap of their whole sets. The sets of ``a`` travel to those of ``b``."""
     left = sets.select(F.col("class").alias("a"), F.col("items").alias("of_a"))
@@ -280,7 +300,7 @@ def link_components(docs: DataFrame, width: int = 4, percent: int = 85, id_col:
     weight = shared.join(spread, "key").groupBy("class").agg(F.avg("members").alias("weight"))
     weight = freeze(weight, "weight")
     wanted = freeze(sizes.join(weight, "class", "left_semi").select("class", "doc_id"), "wanted")
-    sets = freeze(_sets_of(texts, wanted, width, percent, False).select("class", "items"), "sets")
+    sets = freeze(_sets_of(texts, wanted, width, percent, False).select("class", "items", "parity"), "sets")
 
     links, named = None, None
     for step in range(DRAWN_HUBS + 2):
@@ -293,7 +313,7 @@ def link_components(docs: DataFrame, width: int = 4, percent: int = 85, id_col:
             labelled = labelled.withColumn("weight", F.xxhash64("class", F.lit(step)).cast("double"))
         labelled = freeze(labelled, "labelled")
         pairs = _hub_pairs(labelled, sizes, percent) if step <= DRAWN_HUBS else _candidates(labelled, percent)
-        found = freeze(_verified(freeze(pairs, "pairs"), sets, percent), "links")
+        found = freeze(_verified(freeze(_close(pairs, sets, percent), "pairs"), sets, percent), "links")
         links = found if links is None else links.union(found)
         named = components(links).select(F.col("node").alias("class"), F.col("label").alias("found_label"))
     return _component_rows(sketch, sizes, named)
