@@ -9,6 +9,8 @@ with any other white space around a cut take the slow path: the whole text is en
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import compress
+from operator import not_
 
 import pyarrow as pa
 
@@ -16,6 +18,8 @@ GLUED = "\x01"  # marks a chunk that follows a line feed or the start of the tex
 
 Encode = Callable[[Sequence[str]], Sequence[object]]
 TAILS = ",.;:!?"  # punctuation that is cut off behind a word where the tokenizer allows it
+_TAIL_ENDS = frozenset(TAILS)
+KEPT_CHARS = 64  # longer keys (texts without spaces) are encoded each time, so that entries bound the memory
 
 
 class Memo:
@@ -34,35 +38,39 @@ class Memo:
 
     def _cut(self, key: str) -> str:
         base = key.rstrip(TAILS)
-        if not base or base == key or base == GLUED or not self.separable(base[-1], key[len(base)]):
+        if not base or base == GLUED or not self.separable(base[-1], key[len(base)]):
             return key
         return base
 
     def _encode_cut(self, missing: list[str]) -> None:
-        bases = [self._cut(key) for key in missing]
-        tails = {key[len(base) :] for base, key in zip(bases, missing, strict=True)} - self.tails.keys() - {""}
-        wanted = [base for base in dict.fromkeys(bases) if base not in self.new and base not in self.old]
+        bases = [self._cut(key) if key[-1:] in _TAIL_ENDS else key for key in missing]
+        cut = [(base, key) for base, key in zip(bases, missing, strict=True) if base is not key]
+        tails = {key[len(base) :] for base, key in cut} - self.tails.keys()
+        new, old = self.new, self.old
+        wanted = [base for base in dict.fromkeys(bases) if base not in new and base not in old]
         values = self.encode([*wanted, *(GLUED + tail for tail in tails)])
-        self.new.update(zip(wanted, values, strict=False))
+        new.update(zip(wanted, values, strict=False))
         self.tails.update(zip(tails, values[len(wanted) :], strict=True))
-        for base, key in zip(bases, missing, strict=True):
-            if base != key:
-                value = self.new[base] if base in self.new else self.old[base]
-                self.new[key] = None if value is None else self.join([value, self.tails[key[len(base) :]]])
-
-    def fill(self, wanted: Iterable[str]) -> None:
-        """Put the distinct keys ``wanted`` into ``new``."""
-        new, old, missing = self.new, self.old, []
+        for base, key in cut:
+            value = new[base] if base in new else old[base]
+            new[key] = None if value is None else self.join([value, self.tails[key[len(base) :]]])
+
+    def fill(self, wanted: Iterable[str]) -> dict[str, object]:
+        """Put the distinct keys ``wanted`` into ``new``; values of keys too long to be kept are returned instead."""
+        new, old, missing, passing = self.new, self.old, [], []
         for key in wanted:
             if key not in new:
                 if key in old:
                     new[key] = old[key]
+                elif len(key) > KEPT_CHARS:
+                    passing.append(key)
                 else:
                     missing.append(key)
         if missing and self.separable:
             self._encode_cut(missing)
         elif missing:
             new.update(zip(missing, self.encode(missing), strict=True))
+        return dict(zip(passing, self.encode(passing), strict=True)) if passing else {}
 
     def look_up(self, texts: Sequence[Sequence[str] | None]) -> list[list[object] | None]:
         """Values of the keys of each text; None for a text without keys or with a key that has no value."""
@@ -70,15 +78,21 @@ class Memo:
             self.old, self.new = self.new, {}
         get = self.new.get
         found = [None if keys is None else list(map(get, keys)) for keys in texts]
-        holes = [[] if parts is None or all(parts) else [i for i, v in enumerate(parts) if v is None] for parts in found]
-        self.fill({keys[i] for keys, gaps in zip(texts, holes, strict=True) for i in gaps})
-        for n, gaps in enumerate(holes):
+        gaps = {}  # places without a value, or with an empty one or 0
+        for n, parts in enumerate(found):
+            if parts and not all(parts):
+                gaps[n] = list(compress(range(len(parts)), map(not_, parts)))
+        passing = self.fill({texts[n][i] for n, places in gaps.items() for i in places})
+        for n, places in gaps.items():
             parts, keys = found[n], texts[n]
-            for i in gaps:
-                parts[i] = get(keys[i])
-                if parts[i] is None:
-                    found[n] = None
-                    break
+            for i in places:
+                value = get(keys[i])
+                if value is None:
+                    value = passing.get(keys[i])
+                    if value is None:
+                        found[n] = None
+                        break
+                parts[i] = value
         return found
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import sys
+from array import array
 from collections.abc import Sequence
 from functools import lru_cache
 
@@ -10,6 +12,7 @@ import numpy as np
 
 from saleloom.llm.chunks import Memo, core_of, cuts_cleanly, encode_texts
 
+
 class LibraryIds:
     """Encoder for one tokenizer file; ids take two bytes (``dtype``) if the vocabulary allows it, else four.
 
@@ -28,13 +31,20 @@ class LibraryIds:
         # Both kinds of pre-tokenizer cut between a letter and punctuation.
         self.memo = Memo(self._encode_chunks, b"".join, lambda a, b: a.isalpha())
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
 
     def _library(self, texts: Sequence[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
+        if sys.byteorder == "little":
+            return [array(self.code, e.ids).tobytes() for e in found]
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
 
     def _encode_chunks(self, keys: Sequence[str]) -> list[bytes | None]:
-        spelled = [self._spelled(k) for k in keys]
+        # A key of letters alone is a word behind a space.
+        before = " " if self.spaces_matter else ""
+        spelled = [before + k if k.isalpha() else self._spelled(k) for k in keys]
+        if None not in spelled:
+            return self._library(spelled)
         values: list[bytes | None] = [None] * len(keys)
         clean = [i for i, s in enumerate(spelled) if s is not None]
         for i, ids in zip(clean, self._library([spelled[i] for i in clean]), strict=True):
