@@ -4,8 +4,13 @@ The covering LP has one variable per configuration (a multiset of lengths that f
 length. It is solved without listing the configurations: each length has a weight that shrinks as the length gets
 covered, and a knapsack dynamic programme finds the configurations of greatest weight. One table prices all of them:
 for every length, the best configuration that contains it. The fractional solution is rounded to whole bins within
-the counts left, the LP is solved again for what remains, and the last few lengths are placed best-fit. The work
-depends on the capacity and the number of distinct lengths, not on the number of items.
+the counts left, the LP is solved again for what remains, and the last few lengths are placed best-fit, by runs of
+equal lengths in bins of equal content. Configurations that leave more than some room are left to the next step; that
+room is chosen among powers of two, up to the whole bin, by the number of bins that come out.
+
+The work and the number of patterns depend on the capacity and the number of distinct lengths, not on the number of
+items: a step of the LP ends a length or covers ``EPSILON`` of one, and best fit adds at most two patterns a length
+to those it changes.
 """
 
 from __future__ import annotations
@@ -83,30 +88,63 @@ def fractional(counts: np.ndarray, capacity: int) -> dict[Pattern, float]:
 
 
 def _best_fit(counts: np.ndarray, capacity: int) -> dict[Pattern, int]:
-    """Best-fit decreasing of the last items, by histogram."""
-    free: dict[int, list[list[int]]] = {}
+    """Best-fit decreasing by histogram: the bins that placing the items one by one would give.
+
+    An item goes to the bin with the least room that fits, and the next equal item to the same bin while it fits, as its
+    room is then the least. So a group of equal bins takes as many equal items each as fit, but for one bin at the end.
+    """
+    free: dict[int, dict[Pattern, int]] = {}
     mask = 0
     for length in np.flatnonzero(counts)[::-1].tolist():
-        for _ in range(int(counts[length])):
+        left = int(counts[length])
+        while left:
             fits = mask >> length
-            if fits:
-                room = length + (fits & -fits).bit_length() - 1
-                held = free[room].pop()
-                if not free[room]:
-                    mask &= ~(1 << room)
-            else:
-                room, held = capacity, []
-            held.append(length)
-            free.setdefault(room - length, []).append(held)
-            mask |= 1 << (room - length)
+            room = length + (fits & -fits).bit_length() - 1 if fits else capacity
+            each = room // length
+            held, bins = free[room].popitem() if fits else ((), -(-left // each))
+            if fits and not free[room]:
+                del free[room]
+                mask &= ~(1 << room)
+            full = min(bins, left // each)
+            left -= full * each
+            last = left if full < bins else 0
+            left -= last
+            for n, times in ((each, full), (last, int(last > 0)), (0, bins - full - (last > 0))):
+                if times > 0:
+                    key = (*held, (length, n)) if n else held
+                    group = free.setdefault(room - n * length, {})
+                    group[key] = group.get(key, 0) + times
+                    mask |= 1 << (room - n * length)
     plan: dict[Pattern, int] = {}
-    for held in (h for bins in free.values() for h in bins):
-        lengths, times = np.unique(held, return_counts=True)
-        key = tuple(sorted(zip(lengths.tolist(), times.tolist(), strict=True), reverse=True))
-        plan[key] = plan.get(key, 0) + 1
+    for key, times in (item for group in free.values() for item in group.items()):
+        plan[key] = plan.get(key, 0) + times
     return plan
 
 
+def _whole_bins(solution: dict[Pattern, float], counts: np.ndarray, capacity: int, spare: int) -> tuple[dict[Pattern, int], np.ndarray]:
+    """The solution rounded, larger shares first, never more items than there are; and the counts left.
+
+    Configurations with more than ``spare`` room come to nothing.
+    """
+    left, plan = counts.copy(), {}
+    for key in sorted(solution, key=lambda k: -solution[k]):
+        if sum(length * n for length, n in key) < capacity - spare:
+            continue
+        times = min(int(solution[key] + 0.5), *(int(left[length]) // n for length, n in key))
+        if times > 0:
+            plan[key] = times
+            for length, n in key:
+                left[length] -= times * n
+    return plan, left
+
+
+def _merged(*plans: dict[Pattern, int]) -> dict[Pattern, int]:
+    total: dict[Pattern, int] = {}
+    for key, times in (item for plan in plans for item in plan.items()):
+        total[key] = total.get(key, 0) + times
+    return total
+
+
 def solve(counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> dict[Pattern, int]:
     """Whole bins per configuration that hold every item exactly once. ``counts`` has ``capacity + 1`` entries."""
     left = counts.astype(np.int64).copy()
@@ -114,23 +152,21 @@ def solve(counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> dict[Patte
     if left[capacity]:
         plan[((capacity, 1),)] = int(left[capacity])
         left[capacity] = 0
+    best = _merged(plan, _best_fit(left, capacity))
     for _ in range(rounds):
         if left.sum() < 2:
             break
-        before = int(left.sum())
         solution = fractional(left, capacity)
-        fill = {k: sum(length * n for length, n in k) for k in solution}
-        # The larger shares of full bins first; never more items than there are.
-        for key in sorted(solution, key=lambda k: -solution[k]):
-            if fill[key] < capacity:
-                continue
-            times = min(int(solution[key] + 0.5), *(int(left[length]) // n for length, n in key))
-            if times > 0:
-                plan[key] = plan.get(key, 0) + times
-                for length, n in key:
-                    left[length] -= times * n
-        if left.sum() > 0.98 * before:
+        tried = []
+        for spare in [0, *(1 << k for k in range(capacity.bit_length() + 1))]:
+            bins, rest = _whole_bins(solution, left, capacity, spare)
+            whole = _merged(plan, bins, _best_fit(rest, capacity))
+            tried.append((sum(whole.values()), int(rest.sum()), spare, whole, bins, rest))
+        fewest = min(tried, key=lambda t: t[:3])
+        # At the same number of bins the plan of the later round: it leaves less to best fit.
+        if fewest[0] <= sum(best.values()):
+            best = fewest[3]
+        plan, left = _merged(plan, fewest[4]), fewest[5]
+        if not fewest[4]:
             break
-    for key, times in _best_fit(left, capacity).items():
-        plan[key] = plan.get(key, 0) + times
-    return plan
+    return best

@@ -124,8 +124,16 @@ def test_plans_hold_every_item_once(histogram):
         for length, n in pattern:
             held[length] += n * times
     assert held.tolist() == counts.tolist()
-    # Best-fit decreasing is within 11/9 of the optimum; the plan must not be worse than that against the size bound.
-    assert sum(plan.values()) <= 11 / 9 * max(-(-int(counts @ np.arange(65)) // 64), int(counts[33:].sum())) + 4
+    # Best-fit decreasing, item by item, is within 11/9 of the optimum; the plan must not be worse. (A factor on the size
+    # bound would not do: 16 items of 37 and 15 of 28 need 24 bins, their size 16.)
+    rooms: list[int] = []
+    for length in np.repeat(np.arange(65), counts)[::-1].tolist():
+        fitting = [(room, i) for i, room in enumerate(rooms) if room >= length]
+        if fitting:
+            rooms[min(fitting)[1]] -= length
+        else:
+            rooms.append(64 - length)
+    assert sum(plan.values()) <= len(rooms)
 
 
 def test_packing_is_close_to_the_bound():
