@@ -302,8 +302,8 @@ def link_components(docs: DataFrame, width: int = 4, percent: int = 85, id_col:
     wanted = freeze(sizes.join(weight, "class", "left_semi").select("class", "doc_id"), "wanted")
     sets = freeze(_sets_of(texts, wanted, width, percent, False).select("class", "items", "parity"), "sets")
 
-    links, named = None, None
-    for step in range(DRAWN_HUBS + 2):
+    named, step = None, 0
+    while step <= DRAWN_HUBS + 1:
         if named is None:
             labelled = shared.join(weight, "class").withColumn("label", F.col("class"))
         else:
@@ -314,11 +314,30 @@ def link_components(docs: DataFrame, width: int = 4, percent: int = 85, id_col:
         labelled = freeze(labelled, "labelled")
         pairs = _hub_pairs(labelled, sizes, percent) if step <= DRAWN_HUBS else _candidates(labelled, percent)
         found = freeze(_verified(freeze(_close(pairs, sets, percent), "pairs"), sets, percent), "links")
-        links = found if links is None else links.union(found)
-        named = components(links).select(F.col("node").alias("class"), F.col("label").alias("found_label"))
+        some = found.limit(1).count() > 0
+        if named is None:
+            named = components(found).select(F.col("node").alias("class"), F.col("label").alias("found_label"))
+        elif some:
+            named = freeze(_relabelled(named, found), "named")
+        # Hubs only spare pairs of the last scan: where drawing them links nothing more, that scan follows.
+        step = step + 1 if some or step > DRAWN_HUBS else DRAWN_HUBS + 1
     return _component_rows(sketch, sizes, named)
 
 
+def _relabelled(named: DataFrame, found: DataFrame) -> DataFrame:
+    """(class, found_label) after the links ``found`` (a, b): their components on labels, not on all links again."""
+    def end(tag: str) -> DataFrame:
+        return named.select(F.col("class").alias(tag), F.col("found_label").alias(f"label_{tag}"))
+
+    label_a, label_b = F.coalesce("label_a", "a"), F.coalesce("label_b", "b")
+    between = found.join(end("a"), "a", "left").join(end("b"), "b", "left").select(label_a.alias("a"), label_b.alias("b"))
+    merged = components(freeze(between.distinct(), "between"))
+    old = named.join(merged, named["found_label"] == merged["node"], "left")
+    old = old.select("class", F.coalesce("label", "found_label").alias("found_label"))
+    new = merged.join(named.select(F.col("class").alias("node")), "node", "left_anti")
+    return old.union(new.select(F.col("node").alias("class"), F.col("label").alias("found_label")))
+
+
 def link(sketch: DataFrame, texts: DataFrame, width: int, percent: int, least: Least) -> DataFrame:
     """doc_id, n_shingles, component_id from key lists: doc_id, n_shingles, class, keys (``sketch``), and the texts.
 
