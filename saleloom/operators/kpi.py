@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleloom.functions.numbers import ratio, stable_sum
+from saleloom.operators.joins import lookup_join
+from saleloom.operators.keys import dense_keys
+from saleloom.operators.work import freeze
 
 MEASURES = (
     "net_revenue",
@@ -106,8 +109,79 @@ def _joined_counts(grouped: DataFrame, members: DataFrame, by: Sequence[str]) ->
     return found.select(*grouped.columns, *[F.coalesce(f"__n_{n}", zero).alias(n) for n in COUNTS])
 
 
-def kpi_from_base(base: KpiBase, by: Sequence[str]) -> DataFrame:
-    """The KPI block at one grain of a ``kpi_base``: members are made distinct first, then counted."""
+_CELL = "__cell"
+_CELL_BITS = 63
+
+
+class KpiCells(NamedTuple):
+    """A ``KpiBase`` whose distinct members are counted already, for all grains at once.
+
+    A cell is one combination of the grain columns, packed into a long: each column has some bits of it, so a coarser
+    grain of a cell is the cell under a mask. ``counts`` holds (mask, cell, counts), ``sums`` the cell of each row.
+    """
+
+    sums: DataFrame
+    counts: DataFrame
+    masks: dict[str, int]
+
+
+def kpi_cells(sales: DataFrame, grains: Iterable[Sequence[str]]) -> KpiCells | KpiBase:
+    """Stored sums and distinct counts that answer the KPI block at every one of ``grains``.
+
+    A line's document, customer and product travel once, with the line's cell. All cells of a member meet in one place,
+    and there the member is counted once per cell of every grain, so no grain shuffles the members again. Grain columns
+    with too many values for a long are left as a stored ``KpiBase``.
+    """
+    grains = [tuple(g) for g in grains]
+    by = list(dict.fromkeys(c for g in grains for c in g))
+    sums = freeze(sales.groupBy(*by).agg(*[stable_sum(m).alias(m) for m in MEASURES]), "kpi-sums")
+    values = sums.select(F.inline(F.array(*[F.struct(F.lit(i).alias("__i"), F.col(c).cast("string").alias("__v")) for i, c in enumerate(by)])))
+    numbered = dense_keys(values.distinct(), "__no", ["__i", "__v"])
+    spans = {i: (first, n) for i, first, n in numbered.groupBy("__i").agg(F.min("__no"), F.count(F.lit(1))).collect()}
+    masks, cell, shift = {}, F.lit(0).cast("long"), 0
+    coded = sums
+    for i, c in enumerate(by):
+        first, n = spans.get(i, (0, 1))
+        codes = numbered.where(F.col("__i") == i).select(F.col("__v").alias(f"__v{i}"), (F.col("__no") - first).alias(f"__c{i}"))
+        coded = coded.join(codes, F.col(c).cast("string").eqNullSafe(F.col(f"__v{i}")), "left")
+        bits = (n - 1).bit_length()
+        masks[c] = ((1 << bits) - 1) << shift
+        cell, shift = cell + F.shiftleft(F.col(f"__c{i}"), shift) if bits else cell, shift + bits
+    if shift > _CELL_BITS:
+        return KpiBase(sums, freeze(kpi_base(sales, grains).members, "kpi-members"))
+    sums = freeze(coded.select(*sums.columns, cell.alias(_CELL)), "kpi-cells")
+    placed = lookup_join(sales.select(*dict.fromkeys([*by, *COUNTS.values()])), sums.select(*by, _CELL), by)
+    listed = [F.struct(F.lit(k).alias(_KIND), F.col(c).cast("string").alias(_MEMBER)) for k, c in enumerate(COUNTS.values())]
+    members = placed.select(_CELL, F.inline(F.array(*listed))).where(F.col(_MEMBER).isNotNull())
+    of_member = members.groupBy(_KIND, _MEMBER).agg(F.collect_set(_CELL).alias("__cells"))
+
+    def at_grain(mask: int) -> Column:
+        coarse = F.array_distinct(F.transform("__cells", lambda x: x.bitwiseAND(F.lit(mask).cast("long"))))
+        return F.transform(coarse, lambda x: F.struct(F.lit(mask).cast("long").alias("__mask"), x.alias(_CELL)))
+
+    wanted = sorted({_mask(masks, g) for g in grains})
+    found = of_member.select(_KIND, F.inline(F.flatten(F.array(*[at_grain(m) for m in wanted]))))
+    counted = found.groupBy("__mask", _CELL).agg(*[F.count(F.when(F.col(_KIND) == k, 1)).alias(n) for k, n in enumerate(COUNTS)])
+    return KpiCells(sums, freeze(counted, "kpi-counts"), masks)
+
+
+def _mask(masks: dict[str, int], by: Iterable[str]) -> int:
+    return sum(masks[c] for c in dict.fromkeys(by))
+
+
+def _kpi_from_cells(cells: KpiCells, by: Sequence[str]) -> DataFrame:
+    mask = _mask(cells.masks, by)
+    of_cell = F.min(F.col(_CELL).bitwiseAND(F.lit(mask).cast("long"))).alias(_CELL)
+    sums = cells.sums.groupBy(*by).agg(*[stable_sum(m).alias(m) for m in MEASURES], of_cell)
+    counts = cells.counts.where(F.col("__mask") == mask).select(F.col(_CELL).alias("__of"), *[F.col(n).alias(f"__n_{n}") for n in COUNTS])
+    found, zero = sums.join(counts, F.col(_CELL) == F.col("__of"), "left"), F.lit(0).cast("long")
+    return found.select(*by, *MEASURES, *[F.coalesce(f"__n_{n}", zero).alias(n) for n in COUNTS]).withColumns(kpi_ratios())
+
+
+def kpi_from_base(base: KpiBase | KpiCells, by: Sequence[str]) -> DataFrame:
+    """The KPI block at one grain of a ``kpi_base`` or of ``kpi_cells``; of the first, members are made distinct, then counted."""
+    if isinstance(base, KpiCells):
+        return _kpi_from_cells(base, by)
     same_grain = set(base.sums.columns) == {*by, *MEASURES}
     sums = base.sums if same_grain else base.sums.groupBy(*by).agg(*[stable_sum(m).alias(m) for m in MEASURES])
     members = base.members if same_grain else base.members.select(*by, _KIND, _MEMBER).distinct()

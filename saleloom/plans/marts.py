@@ -7,10 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleloom.operators.kpi import GRAINS, PARETO_GRAIN, KpiBase, aggregate_kpi, kpi_base, kpi_from_base
+from saleloom.operators.kpi import GRAINS, PARETO_GRAIN, aggregate_kpi, kpi_cells, kpi_from_base
 from saleloom.operators.reports import pareto, ranked
 from saleloom.operators.star import star_schema
-from saleloom.operators.work import freeze
 
 
 def pareto_mart(groups: DataFrame) -> DataFrame:
@@ -26,8 +25,7 @@ def kpi_marts(sales: DataFrame) -> dict[str, DataFrame]:
 
     The rows of a KPI mart are ordered by its grain, those of the Pareto mart by year and falling revenue.
     """
-    base = kpi_base(sales, [*GRAINS.values(), PARETO_GRAIN])
-    base = KpiBase(freeze(base.sums, "kpi-sums"), freeze(base.members, "kpi-members"))
+    base = kpi_cells(sales, [*GRAINS.values(), PARETO_GRAIN])
     marts = {name: kpi_from_base(base, grain).orderBy(*[F.asc_nulls_last(c) for c in grain]) for name, grain in GRAINS.items()}
     pareto_rows = pareto_mart(kpi_from_base(base, PARETO_GRAIN))
     return {**marts, "mart_pareto_customer_group": ranked(pareto_rows, "net_revenue", ties=["customer_group", "period"])}

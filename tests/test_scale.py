@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import pytest
+
 from saleloom.checks import tables
+from saleloom.operators import kpi
+from saleloom.plans import marts
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -11,6 +15,32 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.fixture(scope="module")
+def lines(spark):
+    """Lines with missing grain values, missing members and members in several cells."""
+    grain = ("year", "month", "quarter", "year_month", "period", "channel", "product_group", "region", "customer_group")
+    rows = []
+    for i in range(60):
+        month = i % 5 + 1
+        cell = (None if i % 7 == 0 else 2020 + i % 2, month, (month + 2) // 3, f"2020-{month:02d}", "p", None if i % 11 == 0 else f"c{i % 3}", f"g{i % 4}", None, f"k{i % 2}")
+        rows.append((*cell, None if i % 13 == 0 else f"d{i // 3}", f"u{i % 9}", f"a{i % 6}", *[float(i + m) for m in range(len(kpi.MEASURES))]))
+    dtypes = {"year": "int", "month": "int", "quarter": "int"}
+    names = [*grain, *kpi.COUNTS.values()]
+    schema = ", ".join([*[f"{c} {dtypes.get(c, 'string')}" for c in names], *[f"{m} double" for m in kpi.MEASURES]])
+    return spark.createDataFrame(rows, schema)
+
+
+@pytest.mark.parametrize("bits", [kpi._CELL_BITS, 0])
+def test_marts_count_members_in_one_shuffle(lines, monkeypatch, bits):
+    monkeypatch.setattr(kpi, "_CELL_BITS", bits)
+    built = marts.kpi_marts(lines)
+    for name in ("mart_overview_year", "mart_channel_product"):
+        grain = kpi.GRAINS[name]
+        want = sorted(map(tuple, kpi.aggregate_kpi(lines, grain).collect()), key=str)
+        assert sorted(map(tuple, built[name].collect()), key=str) == want
+        assert ("kpi-members" in "".join(built[name].inputFiles())) == (bits == 0)
+
+
 def test_customers_nations_and_regions_meet_orders(spark, monkeypatch):
     """Without small tables all are joined by shuffles, but lines take part in just those for parts, orders and suppliers."""
     monkeypatch.setattr(tables, "SMALL_LOOKUP_BYTES", 0)
