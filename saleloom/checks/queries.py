@@ -467,7 +467,8 @@ def outlier_thresholds(spark, folder):
 @query
 def outlier_flags(spark, folder):
     """Flag and level of every line, for two metrics."""
-    view = tables.sales_view(spark, folder, ["doc_no", "product_code", "net_revenue", "profit"])
+    # Stored like the sales table of the stages: count, sketch, ranks and flags each read it.
+    view = freeze(tables.sales_view(spark, folder, ["doc_no", "product_code", "net_revenue", "profit"], spread=True), "sales")
     flagged = outliers.flag_outliers(view, ["net_revenue", "profit"])
     return flagged.drop("net_revenue", "profit")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from saleloom.checks import tables
+from saleloom.checks import queries, tables
 from saleloom.operators import kpi
 from saleloom.plans import marts
 
@@ -60,3 +60,7 @@ def test_small_tables_are_broadcast(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("SortMergeJoin") == 1
+
+
+def test_outlier_flags_read_a_stored_view(spark):
+    assert not any("lineitem" in f for f in queries.QUERIES["outlier_flags"](spark, FOLDER).inputFiles())
