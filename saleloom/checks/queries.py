@@ -225,7 +225,7 @@ def order_value_labels(spark, folder):
 def duplicate_flags(spark, folder):
     """Lines with the copies of lines that were sent twice, flagged."""
     raw = tables.raw_historical(spark, folder, ["doc_no", "product_code", "quantity", "gross_sales", "returned", "source_sheet"])
-    return flag_duplicates(raw)
+    return flag_duplicates(freeze(raw, "raw-historical"), stored=True)
 
 
 @query

@@ -13,15 +13,22 @@ from saleloom.operators.work import freeze
 
 COPIES_PER_TASK_ROW = 100_000
 _HASH = ("__h1", "__h2")
+_WORD_BITS = 21
+_WORDS = 1 << _WORD_BITS
 
 
-def flag_duplicates(df: DataFrame, flag: str = "is_duplicate", chunk: int = COPIES_PER_TASK_ROW) -> DataFrame:
+def flag_duplicates(df: DataFrame, flag: str = "is_duplicate", chunk: int = COPIES_PER_TASK_ROW, stored: bool = False) -> DataFrame:
     """Add a flag that is FALSE for one row of every group of equal rows and TRUE for its copies.
 
     Equal rows cannot be told apart, so it is enough to count them and to emit each row that many
     times: one shuffle of map-side combined rows. A group with more than ``chunk`` copies is first cut
-    into chunks that are spread over all tasks. NULL equals NULL and 0.0 equals -0.0.
+    into chunks that are spread over all tasks. NULL equals NULL and 0.0 equals -0.0. Of a ``stored`` table, which
+    is cheap to read again, only rows whose hash occurs again go through that shuffle.
     """
+    if stored:
+        again, once = split_by_hash(df.select("*", *row_hash(df.columns)))
+        single = once.select(*[F.col(f"`{c}`") for c in df.columns], F.lit(False).alias(flag))
+        return single.unionByName(flag_duplicates(again.select(*[F.col(f"`{c}`") for c in df.columns]), flag, chunk))
     columns, count, copy = df.columns, "__copies", "__copy"
     counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias(count))
     few = counted.filter(F.col(count) <= chunk).select(
@@ -53,41 +60,58 @@ def row_hash(columns: Sequence[str]) -> list[Column]:
     return [F.xxhash64(*values).alias(_HASH[0]), F.xxhash64(F.lit(1), *values, *nulls).alias(_HASH[1])]
 
 
-def copies(df: DataFrame, columns: Sequence[str], order: str | None = None, hashed: bool = False) -> DataFrame:
-    """The contents of all rows whose hash occurs again: hash, ``columns``, ``__n`` rows and the ``__first`` position.
+def split_by_hash(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows``, which carry their ``row_hash``, in two: all whose hash occurs again, with few others, and the rest.
 
-    ``df`` is read twice and should be stored; ``hashed`` says that it was stored with its ``row_hash``. Hashes of all
-    rows are counted first, 16 bytes a row. Only rows whose hash occurs again are compared, and shuffled, at full width,
-    so the result is exact. Counts are combined before each shuffle, so a row that was sent very often is no bottleneck.
+    The first hash of every row is counted, 8 bytes a row. Those that occur again set bits in words of 64, at most
+    2**21 words and so a bounded broadcast, and a row goes by its bit. No row of the rest has a copy.
     """
-    rows = df if hashed else df.select("*", *row_hash(columns))
-    again = rows.groupBy(*_HASH).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(*_HASH)
-    again = freeze(again, "hashes")
-    found = rows.join(F.broadcast(again) if measured_bytes(again) <= BROADCAST_BYTES else again, list(_HASH), "left_semi")
+    hash_ = F.col(_HASH[0])
+    again = rows.groupBy(hash_).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(hash_)
+    word, bit = hash_.bitwiseAND(F.lit(_WORDS - 1)), F.expr(f"shiftleft(1L, CAST(shiftright({_HASH[0]}, {_WORD_BITS}) & 63 AS INT))")
+    words = freeze(again.groupBy(word.alias("__word")).agg(F.bit_or(bit).alias("__bits")), "hashes")
+    marked = rows.join(F.broadcast(words), word == F.col("__word"), "left")
+    found = F.coalesce(F.col("__bits").bitwiseAND(bit) != 0, F.lit(False))
+    return marked.where(found).select(*rows.columns), marked.where(~found).select(*rows.columns)
+
+
+def copies(df: DataFrame, columns: Sequence[str], order: str | None = None) -> DataFrame:
+    """Contents of rows: hash, ``columns``, ``__n`` rows and the ``__first`` position. Every content with copies is there.
+
+    ``df`` is read twice and should be stored. The hashes of all rows are counted first; only rows whose hash occurs
+    again, with few others, are compared, and shuffled, at full width, so the result is exact (``split_by_hash``). Counts
+    are combined before each shuffle, so a row that was sent very often is no bottleneck.
+    """
+    found, _ = split_by_hash(df.select("*", *row_hash(columns)))
+    return _contents(found, columns, order)
+
+
+def _contents(rows: DataFrame, columns: Sequence[str], order: str | None) -> DataFrame:
     first = F.min(order) if order else F.lit(None).cast("long")
-    groups = found.groupBy(*_HASH, *[f"`{c}`" for c in columns]).agg(F.count(F.lit(1)).alias("__n"), first.alias("__first"))
-    return groups
+    return rows.groupBy(*_HASH, *[f"`{c}`" for c in columns]).agg(F.count(F.lit(1)).alias("__n"), first.alias("__first"))
 
 
 def flag_later_copies(df: DataFrame, order: str, flag: str = "is_duplicate") -> DataFrame:
     """Add a flag that is TRUE for every row that equals an earlier one; ``order`` is a row's position.
 
-    The position takes no part in the comparison. The rows are stored once, with their hashes, and never shuffled as
-    long as the contents that occur again fit a broadcast; each of those is one row of 24 bytes, however often it was
-    sent. Contents are compared in the join only if two of them have been found to share a hash.
+    The position takes no part in the comparison. The rows are stored once, with their hashes; only those whose hash
+    occurs again, with few others, meet the contents that do, and not even these are shuffled as long as the contents fit
+    a broadcast. Each of those is one row of 24 bytes, however often it was sent. Contents are compared in the join only if two of them have been found to share a hash.
     """
     columns = [c for c in df.columns if c != order]
     rows = freeze(df.select("*", *row_hash(columns)), "rows")
-    groups = freeze(copies(rows, columns, order, hashed=True), "copies")
+    again, once = split_by_hash(rows)
+    groups = freeze(_contents(again, columns, order), "copies")
     contents, hashes = groups.agg(F.count(F.lit(1)), F.count_distinct(*_HASH)).first()
     compared = columns if contents > hashes else []
     firsts = groups.where("__n > 1").select(
         *[F.col(c).alias(f"_{c}") for c in _HASH], *[F.col(f"`{c}`").alias(f"__of_{i}") for i, c in enumerate(compared)], "__first")
     same = [F.col(c) == F.col(f"_{c}") for c in _HASH] + [F.col(f"`{c}`").eqNullSafe(F.col(f"__of_{i}")) for i, c in enumerate(compared)]
     small = measured_bytes(firsts) <= BROADCAST_BYTES
-    joined = rows.join(F.broadcast(firsts) if small else firsts, reduce(lambda a, b: a & b, same), "left")
+    joined = again.join(F.broadcast(firsts) if small else firsts, reduce(lambda a, b: a & b, same), "left")
     later = F.coalesce(F.col(order) > F.col("__first"), F.lit(False))
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], later.alias(flag))
+    kept = [F.col(f"`{c}`") for c in df.columns]
+    return once.select(*kept, F.lit(False).alias(flag)).unionByName(joined.select(*kept, later.alias(flag)))
 
 
 def _pick(df: DataFrame, key: str, order_by: Sequence[str], picker) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 from saleloom.checks import queries, tables
-from saleloom.operators import kpi
+from saleloom.operators import dedup, kpi
 from saleloom.plans import marts
 
 FOLDER = "/root/testdata/sf0.001"
@@ -41,6 +41,26 @@ def test_marts_count_members_in_one_shuffle(lines, monkeypatch, bits):
         assert ("kpi-members" in "".join(built[name].inputFiles())) == (bits == 0)
 
 
+@pytest.mark.parametrize("bits", [dedup._WORD_BITS, 0])
+def test_stored_rows_are_flagged_like_others(spark, monkeypatch, bits):
+    """With one word for all hashes some single rows are taken for candidates; the flags stay the same."""
+    monkeypatch.setattr(dedup, "_WORD_BITS", bits)
+    monkeypatch.setattr(dedup, "_WORDS", 1 << bits)
+    data = [(i % 40, None if i % 8 == 0 else f"t{i % 40}", i) for i in range(60)] + [(100 + i, "x", i) for i in range(200)]
+    df = spark.createDataFrame(data, "k int, t string, at long")
+    rows = df.drop("at")
+    assert sorted(dedup.flag_duplicates(rows, stored=True).collect(), key=str) == sorted(dedup.flag_duplicates(rows).collect(), key=str)
+    later = {r["at"] for r in dedup.flag_later_copies(df, "at").where("is_duplicate").collect()}
+    assert later == set(range(40, 60))
+
+
+def test_rows_without_copies_are_not_compared(spark):
+    df = spark.range(1000).selectExpr("id % 990 AS k", "'x' AS t")
+    again, once = dedup.split_by_hash(df.select("*", *dedup.row_hash(df.columns)))
+    assert (again.count() + once.count(), once.select("k").distinct().count() - once.count()) == (1000, 0)
+    assert 20 <= again.count() < 40
+
+
 def test_customers_nations_and_regions_meet_orders(spark, monkeypatch):
     """Without small tables all are joined by shuffles, but lines take part in just those for parts, orders and suppliers."""
     monkeypatch.setattr(tables, "SMALL_LOOKUP_BYTES", 0)
