@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 from saleloom.checks import queries, tables
-from saleloom.operators import dedup, kpi
+from saleloom.operators import dedup, kpi, quality
 from saleloom.plans import marts
 
 FOLDER = "/root/testdata/sf0.001"
@@ -61,6 +61,11 @@ def test_rows_without_copies_are_not_compared(spark):
     assert 20 <= again.count() < 40
 
 
+def test_stored_tables_count_duplicates_by_hash(spark):
+    df = spark.createDataFrame([(1, True), (1, False), (1, False), (2, None)], "x int, is_duplicate boolean")
+    assert quality.duplicate_counts({"t": df}, stored=True).collect() == quality.duplicate_counts({"t": df}).collect()
+
+
 def test_customers_nations_and_regions_meet_orders(spark, monkeypatch):
     """Without small tables all are joined by shuffles, but lines take part in just those for parts, orders and suppliers."""
     monkeypatch.setattr(tables, "SMALL_LOOKUP_BYTES", 0)
@@ -84,3 +89,10 @@ def test_small_tables_are_broadcast(spark):
 
 def test_outlier_flags_read_a_stored_view(spark):
     assert not any("lineitem" in f for f in queries.QUERIES["outlier_flags"](spark, FOLDER).inputFiles())
+
+
+def test_flags_are_set_before_other_columns_are_derived(spark):
+    """The shuffle for the flags carries the source's columns alone."""
+    plan = _plan(queries._historical(spark, FOLDER, True))
+    shuffled = [x for x in plan.splitlines() if "Exchange hashpartitioning(doc_date" in x]
+    assert shuffled and not any("year_month" in x for x in shuffled)
