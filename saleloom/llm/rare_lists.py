@@ -19,6 +19,7 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,15 +31,23 @@ NAME_BITS = 48
 BUCKET_SHINGLES = 2_000_000
 HEAD_SHARE = 100
 SLICE_ROWS, SLICE_BYTES = 4096, 8 << 20
+HASHED_BYTES = 1 << 20
 LEAST_SETS = 16  # sets of a slice that hold a shingle before it is reported as frequent
 _SHIFT = np.uint64(64 - NAME_BITS)
 _HEAD = (1 << 62)  # count that puts the head behind all others
 
 
 def flat_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of all texts, ascending in each text, and the n + 1 bounds of each text's shingles."""
-    hashes, bounds = shingle_hashes(texts, width)
-    found = [np.unique(hashes[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+    """Distinct shingles of all texts, ascending in each text, and the n + 1 bounds of each text's shingles.
+
+    Hashing takes some 50 bytes of arrays for each byte of text, so texts are hashed ``HASHED_BYTES`` at a time.
+    """
+    ends = np.cumsum(pc.binary_length(texts.cast(pa.large_binary())).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(ends // HASHED_BYTES)) + 1).tolist(), len(texts)]
+    found = []
+    for start, end in pairwise(cuts):
+        hashes, bounds = shingle_hashes(texts.slice(start, end - start), width)
+        found += [np.unique(hashes[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
     flat = np.concatenate(found) if found else np.zeros(0, np.uint64)
     return flat, np.append(0, np.cumsum([len(s) for s in found])).astype(np.int64)
 

@@ -2,13 +2,16 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from saleloom.llm import hnsw, minhash, rare_lists, set_join
 from saleloom.llm.components import components
+from saleloom.llm.shingles import shingle_sets
 from tests.llm.conftest import TEXTS, prose
 
 ASCII = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -190,3 +193,15 @@ def test_neighbours_of_odd_vectors(spark):
     few = hnsw.nearest(df.where("vec_id in (1, 2, 100)"), F.col("vec_id") == 1).collect()
     assert sorted(r.vec_id for r in few) == [2, 100]
     assert hnsw.nearest(df.where("false"), F.lit(True)).count() == 0
+
+
+def test_shingles_of_a_slice_are_hashed_in_portions():
+    texts = pa.array([prose(n % 50, 400) for n in range(2000)] + ["", "one", prose(1, 400_000)])
+    assert texts.nbytes > 7 << 20
+    tracemalloc.start()
+    flat, bounds = rare_lists.flat_sets(texts.slice(3), 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 15 * texts.nbytes
+    assert all(np.array_equal(flat[a:b], s) for a, b, s in zip(bounds, bounds[1:], shingle_sets(texts.slice(3), 5), strict=False))
+    assert len(bounds) == len(texts) - 3 + 1 and rare_lists.flat_sets(texts[:0], 5)[1].tolist() == [0]
