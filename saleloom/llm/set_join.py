@@ -39,6 +39,7 @@ from saleloom.operators.work import freeze
 SCAN_ROWS = 8  # rows of an inverted list that are scanned for one prefix shingle, for the cost of the boundary
 HUB_ROUNDS = 2  # of ``link``: the first on the listed keys, the others on parts
 DRAWN_HUBS = 4  # rounds of ``link_components`` whose hubs are drawn by hash, after one with the longest lists
+HUBS = 32  # hubs of a list in each of these
 SPARE_PARTS = 3  # parts beyond the least number, so that parts which happen to be empty need no key
 BROADCAST_ROWS = 2_000_000  # ids of sets to fetch are broadcast up to so many rows (16 MB)
 _SUBSET_SEED = np.uint64(0x5851F42D4C957F2D)
@@ -193,15 +194,19 @@ def _live(listed: DataFrame, sizes: DataFrame, least: Least) -> DataFrame:
     return freeze(listed.join(_shared(listed), "key", "left_semi"), "live")
 
 
+def _few_apart(parity_a: Column, parity_b: Column, size_a: Column, size_b: Column, percent: int) -> Column:
+    """Parity bits that allow a link: a shingle of one set alone changes one bit at most."""
+    apart = sum((F.bit_count(parity_a[i].bitwiseXOR(parity_b[i])) for i in range(PARITY_BITS // 64)), F.lit(0))
+    return (100 + percent) * apart <= (100 - percent) * (size_a + size_b)
+
+
 def _close(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of (a, b) the pairs whose parity bits allow a link: a shingle of one set alone changes one bit at most."""
+    """Of (a, b) the pairs whose parity bits allow a link."""
     def side(tag: str) -> DataFrame:
         return sets.select(F.col("class").alias(tag), F.col("parity").alias(f"parity_{tag}"), F.size("items").alias(f"size_{tag}"))
 
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    apart = sum((F.bit_count(F.col("parity_a")[i].bitwiseXOR(F.col("parity_b")[i])) for i in range(PARITY_BITS // 64)), F.lit(0))
-    allowed = (100 - percent) * (F.col("size_a") + F.col("size_b"))
-    return both.where((100 + percent) * apart <= allowed).select("a", "b")
+    return both.where(_few_apart(*map(F.col, ("parity_a", "parity_b", "size_a", "size_b")), percent)).select("a", "b")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -254,23 +259,51 @@ def _component_rows(sketch: DataFrame, sizes: DataFrame, named: DataFrame) -> Da
     return joined.select("doc_id", "n_shingles", "component_id").union(alone)
 
 
-def _candidates(lists: DataFrame, percent: int) -> DataFrame:
-    """All pairs (a, b) of different labels that share a listed key and may link by their sizes and the key's places.
+def _mixed(lists: DataFrame) -> DataFrame:
+    """Rows of ``lists`` (with key, label) whose key is listed under more than one label."""
+    spread = lists.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return lists.join(spread.where("low < high").select("key"), "key", "left_semi")
+
+
+def _side(lists: DataFrame, tag: str) -> DataFrame:
+    return lists.select("key", *[F.col(c).alias(f"{c}_{tag}") for c in ("class", "place", "n_shingles", "label", "parity")])
+
+
+def _may_link(percent: int) -> Column:
+    """Sides a and b of a list have different labels, and their sizes, the key's places and parity bits allow a link.
+
+    Before their first common shingle two linked sets have no other, so the shingles from there on must suffice for the
+    overlap.
+    """
+    size_a, size_b = F.col("n_shingles_a"), F.col("n_shingles_b")
+    overlap = F.ceil((size_a + size_b) * percent / (100 + percent))
+    left = F.least(size_a - F.col("place_a"), size_b - F.col("place_b"))
+    return ((F.col("label_a") != F.col("label_b")) & _fits(size_a, size_b, percent) & (left >= overlap)
+            & _few_apart(F.col("parity_a"), F.col("parity_b"), size_a, size_b, percent))
+
 
-    ``lists``: class, key, place, n_shingles, label. The larger set looks its whole list up; the smaller one is found by
-    the shingles that a partner of its own size can share. Before their first common shingle two linked sets have no
-    other, so the shingles from there on must suffice for the overlap.
+def _drawn_pairs(lists: DataFrame, percent: int, step: int) -> DataFrame:
+    """(a, b): each class with those of ``HUBS`` members of its lists, drawn by hash, that it may link to.
+
+    Members are dealt to slots, and each slot gives one hub, if it can a member that has links. ``lists``: class, key,
+    place, n_shingles, label, linked, parity.
     """
-    def side(df: DataFrame, tag: str) -> DataFrame:
-        return df.select("key", *[F.col(c).alias(f"{c}_{tag}") for c in ("class", "place", "n_shingles", "label")])
+    drawn = F.struct("linked", F.xxhash64("class", F.lit(step)).alias("draw"), "class", "place", "n_shingles", "label", "parity")
+    slot = F.pmod(F.xxhash64("class", F.lit(-step)), F.lit(HUBS)).alias("slot")
+    hubs = lists.groupBy("key", slot).agg(F.max(drawn).alias("hub")).select("key", "hub.*")
+    met = _side(lists, "a").join(_side(hubs, "b").hint("merge"), "key").where(_may_link(percent))
+    return met.select(F.least("class_a", "class_b").alias("a"), F.greatest("class_a", "class_b").alias("b")).distinct()
+
 
-    overlap = F.ceil((F.col("n_shingles_a") + F.col("n_shingles_b")) * percent / (100 + percent))
+def _candidates(lists: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of different labels that share a listed key and may link.
+
+    ``lists``: class, key, place, n_shingles, label, parity. The larger set looks its whole list up; the smaller one is
+    found by the shingles that a partner of its own size can share.
+    """
     listed = lists.where(F.col("place") <= F.col("n_shingles") - F.ceil(2 * percent * F.col("n_shingles") / (100 + percent)))
-    left = F.least(F.col("n_shingles_a") - F.col("place_a"), F.col("n_shingles_b") - F.col("place_b"))
     ordered = F.struct("n_shingles_a", "class_a") < F.struct(F.col("n_shingles_b"), F.col("class_b"))
-    met = side(listed, "a").join(side(lists, "b").hint("merge"), "key").where(
-        ordered & (F.col("label_a") != F.col("label_b")) & (left >= overlap)
-        & (100 * F.col("n_shingles_a") >= percent * F.col("n_shingles_b")))
+    met = _side(listed, "a").join(_side(lists, "b").hint("merge"), "key").where(ordered & _may_link(percent))
     return met.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
 
 
@@ -302,22 +335,21 @@ def link_components(docs: DataFrame, width: int = 4, percent: int = 85, id_col:
     wanted = freeze(sizes.join(weight, "class", "left_semi").select("class", "doc_id"), "wanted")
     sets = freeze(_sets_of(texts, wanted, width, percent, False).select("class", "items", "parity"), "sets")
 
-    named, step = None, 0
+    labelled = shared.join(weight, "class").withColumn("label", F.col("class"))
+    pairs = freeze(_close(_hub_pairs(labelled, sizes, percent), sets, percent), "pairs")
+    found = freeze(_verified(pairs, sets, percent), "links")
+    named = components(found).select(F.col("node").alias("class"), F.col("label").alias("found_label"))
+    lists, step = shared, 1
     while step <= DRAWN_HUBS + 1:
-        if named is None:
-            labelled = shared.join(weight, "class").withColumn("label", F.col("class"))
-        else:
-            label = F.coalesce(F.col("found_label"), F.col("class")).alias("label")
-            labelled = shared.join(weight, "class").join(named, "class", "left").select(*shared.columns, "weight", label)
-        if step:
-            labelled = labelled.withColumn("weight", F.xxhash64("class", F.lit(step)).cast("double"))
-        labelled = freeze(labelled, "labelled")
-        pairs = _hub_pairs(labelled, sizes, percent) if step <= DRAWN_HUBS else _candidates(labelled, percent)
-        found = freeze(_verified(freeze(_close(pairs, sets, percent), "pairs"), sets, percent), "links")
+        label = F.coalesce(F.col("found_label"), F.col("class")).alias("label")
+        lists = lists.select(*shared.columns).join(named, "class", "left").select(
+            *shared.columns, label, F.col("found_label").isNotNull().alias("linked"))
+        lists = freeze(_mixed(lists), "labelled")
+        known_bits = lists.join(sets.select("class", "parity"), "class")
+        pairs = _drawn_pairs(known_bits, percent, step) if step <= DRAWN_HUBS else _candidates(known_bits, percent)
+        found = freeze(_verified(freeze(pairs, "pairs"), sets, percent), "links")
         some = found.limit(1).count() > 0
-        if named is None:
-            named = components(found).select(F.col("node").alias("class"), F.col("label").alias("found_label"))
-        elif some:
+        if some:
             named = freeze(_relabelled(named, found), "named")
         # Hubs only spare pairs of the last scan: where drawing them links nothing more, that scan follows.
         step = step + 1 if some or step > DRAWN_HUBS else DRAWN_HUBS + 1

@@ -205,3 +205,39 @@ def test_shingles_of_a_slice_are_hashed_in_portions():
     assert peak < 15 * texts.nbytes
     assert all(np.array_equal(flat[a:b], s) for a, b, s in zip(bounds, bounds[1:], shingle_sets(texts.slice(3), 5), strict=False))
     assert len(bounds) == len(texts) - 3 + 1 and rare_lists.flat_sets(texts[:0], 5)[1].tolist() == [0]
+
+
+def loose_copies(n, edits):
+    """Copies of one text with so many changed words that only some pairs of them link."""
+    draw = random.Random(5)
+    base = [f"b{i}" for i in range(150)]
+    docs = []
+    for i in range(n):
+        words = list(base)
+        for k in range(draw.choice(edits)):
+            words[draw.randrange(len(words))] = f"x{i}y{k}"
+        docs.append((i, " ".join(words)))
+    return docs
+
+
+def test_hubs_link_loose_copies_before_the_last_scan(spark, monkeypatch):
+    stored, freeze = [], set_join.freeze
+    monkeypatch.setattr(set_join, "freeze", lambda df, name: stored.append((name, freeze(df, name))) or stored[-1][1])
+    docs = loose_copies(160, (2, 2, 2, 2, 1, 5))
+    found = set_join.link_components(spark.createDataFrame(docs, "doc_id long, text string"))
+    expected = brute_components(docs, 4, 85)
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+    assert 1 < len({c for _, _, c in expected}) < 100
+    pairs = [t for name, t in stored if name == "pairs"]
+    links = [t for name, t in stored if name == "links"]
+    assert links[-1].count() <= 5
+    assert pairs[-1].count() <= 160
+
+
+def test_candidates_leave_out_sets_that_differ_too_much(spark):
+    rng = np.random.default_rng(3)
+    sets = [rng.integers(1, 1 << 62, 100, dtype=np.int64).astype(np.uint64) for _ in range(40)]
+    sets += [np.append(sets[0][:-3], np.arange(3, dtype=np.uint64))]  # links to the first
+    rows = [(n, 7, 0, 100, n, set_join._parity(s).tolist()) for n, s in enumerate(sets)]
+    lists = spark.createDataFrame(rows, "class long, key long, place long, n_shingles long, label long, parity array<long>")
+    assert [tuple(r) for r in set_join._candidates(lists, 85).collect()] == [(0, 40)]
