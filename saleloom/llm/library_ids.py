@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import sys
 from array import array
 from collections.abc import Sequence
@@ -10,7 +12,47 @@ from functools import lru_cache
 
 import numpy as np
 
-from saleloom.llm.chunks import Memo, core_of, cuts_cleanly, encode_texts
+from saleloom.llm.chunks import GLUED, Memo, core_of, cuts_cleanly, encode_texts
+
+
+# Pre-tokenizers that leave a word of letters whole: CLIP's, which drops spaces, and GPT-2's, which spells a space as Ġ.
+CLIP_WORDS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+CLIP_SPLIT = {"type": "Split", "pattern": {"Regex": CLIP_WORDS}, "behavior": "Removed", "invert": True}
+LETTER_KEEPERS = ("NFC", "NFKC", "Lowercase")  # normalizers that change no letter of LETTERS but its case
+LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+
+
+def letters_model(spec: dict, spaces_matter: bool) -> tuple[str, bool] | None:
+    """(prefix, lower case) with which the model alone encodes a word of ``LETTERS`` like the whole tokenizer; else None.
+
+    ``spec`` is a tokenizer file. Only pre-tokenizers known to leave such a word whole are accepted.
+    """
+    def parts(step: dict | None, within: str) -> list[dict]:
+        return [] if step is None else step[within] if step["type"] == "Sequence" else [step]
+
+    normalizers = parts(spec.get("normalizer"), "normalizers")
+    for n in normalizers:
+        spaces = n["type"] == "Replace" and n["pattern"] == {"Regex": "\\s+"} and n["content"] == " "
+        if n["type"] not in LETTER_KEEPERS and not spaces:
+            return None
+    cutters = [{k: v for k, v in c.items() if k != "trim_offsets"} for c in parts(spec.get("pre_tokenizer"), "pretokenizers")]
+    bytes_only = {"type": "ByteLevel", "add_prefix_space": False}
+    lower = any(n["type"] == "Lowercase" for n in normalizers)
+    if not spaces_matter and cutters == [CLIP_SPLIT, bytes_only | {"use_regex": False}]:
+        return "", lower
+    if spaces_matter and cutters == [bytes_only | {"use_regex": True}]:
+        return "\u0120", lower
+    return None
+
+
+def letter_table(lower: bool) -> dict[int, str]:
+    """Each of ``LETTERS`` that a byte-level tokenizer spells otherwise: in lower case if asked, a character per byte."""
+    def spelled(byte: int) -> str:  # bytes without a printable character of their own follow from U+0100 on
+        rest = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
+        return chr(0x100 + rest.index(byte)) if byte in rest else chr(byte)
+
+    letters = [chr(n) for n in range(0x100) if LETTERS.fullmatch(chr(n))]
+    return {ord(c): "".join(map(spelled, (c.lower() if lower else c).encode())) for c in letters}
 
 
 class LibraryIds:
@@ -29,25 +71,43 @@ class LibraryIds:
         self.spaces_matter = spaces_matter
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # Both kinds of pre-tokenizer cut between a letter and punctuation.
+        self.letters = letters_model(json.loads(self.tokenizer.to_str()), spaces_matter)
+        self.model = self.tokenizer.model
+        self.table = letter_table(self.letters[1]) if self.letters else {}
         self.memo = Memo(self._encode_chunks, b"".join, lambda a, b: a.isalpha())
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
 
-    def _library(self, texts: Sequence[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
+    def _bytes(self, ids: list[int]) -> bytes:
         if sys.byteorder == "little":
-            return [array(self.code, e.ids).tobytes() for e in found]
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
+            return array(self.code, ids).tobytes()
+        return np.array(ids, dtype=self.dtype).tobytes()
+
+    def _library(self, texts: Sequence[str]) -> list[bytes]:
+        return [self._bytes(e.ids) for e in self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)]
 
     def _encode_chunks(self, keys: Sequence[str]) -> list[bytes | None]:
+        """Ids of each chunk; a word of ``LETTERS`` goes to the tokenizer's model alone."""
+        values: list[bytes | None] = [None] * len(keys)
+        others = []
+        if self.letters:
+            prefix, table, letters = self.letters[0], self.table, LETTERS.fullmatch
+            tokenize, as_bytes = self.model.tokenize, self._bytes
+            for i, key in enumerate(keys):
+                glued = key.startswith(GLUED)
+                word = key[1:] if glued else key
+                if letters(word):
+                    word = word.translate(table)
+                    values[i] = as_bytes([t.id for t in tokenize(word if glued else prefix + word)])
+                else:
+                    others.append(i)
+        else:
+            others = list(range(len(keys)))
         # A key of letters alone is a word behind a space.
         before = " " if self.spaces_matter else ""
-        spelled = [before + k if k.isalpha() else self._spelled(k) for k in keys]
-        if None not in spelled:
-            return self._library(spelled)
-        values: list[bytes | None] = [None] * len(keys)
-        clean = [i for i, s in enumerate(spelled) if s is not None]
-        for i, ids in zip(clean, self._library([spelled[i] for i in clean]), strict=True):
+        spelled = {i: before + keys[i] if keys[i].isalpha() else self._spelled(keys[i]) for i in others}
+        clean = {i: s for i, s in spelled.items() if s is not None}
+        for i, ids in zip(clean, self._library(list(clean.values())), strict=True):
             values[i] = ids
         return values
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import random
 import zlib
 
@@ -11,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from saleloom.llm import packing, piece_codec, token_counts, token_ids
+from saleloom.llm import library_ids, packing, piece_codec, token_counts, token_ids
 from saleloom.llm.config_lp import solve
 from saleloom.llm.elias_fano import EliasFano
 from saleloom.llm.library_ids import LibraryIds
@@ -165,3 +166,29 @@ def test_pieces_of_one_length_are_numbered_over_buckets(spark):
     rows = packing.place(pieces, 64, bucket_rows=50).collect()
     assert len({(r.sequence_id, r.offset) for r in rows}) == 1000
     assert public_tokenizers.path("byte_bpe_50k.json") == BYTE_BPE
+
+
+@pytest.mark.parametrize(("path", "spaces_matter"), [(WORD_BPE, False), (BYTE_BPE, True)])
+def test_words_of_letters_take_the_model_alone(path, spaces_matter):
+    encoder = library_ids.LibraryIds(path, spaces_matter)
+    assert encoder.letters
+    letters = [chr(n) for n in range(0x250) if chr(n).isalpha()]
+    draw = random.Random(2)
+    words = [*letters, *("".join(draw.choices(letters, k=draw.randint(2, 12))) for _ in range(400)), "e\u0301t\u00e9", "\u00aa\u00ba\u00b5"]
+    words += ["".join(draw.choices(letters[:52] + ["\u00e9", "\u00df", "\u00c4"], k=9)) for _ in range(2000)]
+    texts = [" ".join(words), "\n".join(words), *words, *(" " + w for w in words), *(w + "." for w in words)]
+    found = [np.frombuffer(ids, encoder.dtype).tolist() for ids in encoder.encode(texts)]
+    assert found == [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    passed = []
+    monitored = library_ids.LibraryIds(path, spaces_matter)
+    monitored._library = lambda texts: passed.extend(texts) or encoder._library(texts)
+    monitored.encode(["plain W\u00f6rter \u00e9t\u00e9 x1"])
+    assert [w.strip() for w in passed] == ["x1"]
+
+
+def test_other_tokenizers_keep_the_whole_library():
+    spec = json.loads(Tokenizer.from_file(WORD_BPE).to_str())
+    assert library_ids.letters_model(spec, False) == ("", True)
+    assert library_ids.letters_model(spec, True) is None
+    assert library_ids.letters_model(spec | {"normalizer": {"type": "StripAccents"}}, False) is None
+    assert library_ids.letters_model(spec | {"pre_tokenizer": {"type": "Whitespace"}}, False) is None
