@@ -6,6 +6,7 @@ import json
 import os
 import re
 import sys
+import unicodedata
 from array import array
 from collections.abc import Sequence
 from functools import lru_cache
@@ -55,6 +56,11 @@ def letter_table(lower: bool) -> dict[int, str]:
     return {ord(c): "".join(map(spelled, (c.lower() if lower else c).encode())) for c in letters}
 
 
+def ends_in_letter(char: str, mark: str) -> bool:
+    """Both kinds of pre-tokenizer cut between a letter and punctuation, if normalizers leave it a letter at its end."""
+    return char.isalpha() and (char <= "\u00ff" or unicodedata.normalize("NFC", char).lower().isalpha())
+
+
 class LibraryIds:
     """Encoder for one tokenizer file; ids take two bytes (``dtype``) if the vocabulary allows it, else four.
 
@@ -70,11 +76,10 @@ class LibraryIds:
         self.tokenizer.no_padding()
         self.spaces_matter = spaces_matter
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        # Both kinds of pre-tokenizer cut between a letter and punctuation.
         self.letters = letters_model(json.loads(self.tokenizer.to_str()), spaces_matter)
         self.model = self.tokenizer.model
         self.table = letter_table(self.letters[1]) if self.letters else {}
-        self.memo = Memo(self._encode_chunks, b"".join, lambda a, b: a.isalpha())
+        self.memo = Memo(self._encode_chunks, b"".join, ends_in_letter)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
 

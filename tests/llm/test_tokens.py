@@ -174,7 +174,7 @@ def test_words_of_letters_take_the_model_alone(path, spaces_matter):
     assert encoder.letters
     letters = [chr(n) for n in range(0x250) if chr(n).isalpha()]
     draw = random.Random(2)
-    words = [*letters, *("".join(draw.choices(letters, k=draw.randint(2, 12))) for _ in range(400)), "e\u0301t\u00e9", "\u00aa\u00ba\u00b5"]
+    words = [*letters, *("".join(draw.choices(letters, k=draw.randint(2, 12))) for _ in range(400)), "e\u0301t\u00e9", "\u00aa\u00ba\u00b5", "\u0130", "\u0958"]
     words += ["".join(draw.choices(letters[:52] + ["\u00e9", "\u00df", "\u00c4"], k=9)) for _ in range(2000)]
     texts = [" ".join(words), "\n".join(words), *words, *(" " + w for w in words), *(w + "." for w in words)]
     found = [np.frombuffer(ids, encoder.dtype).tolist() for ids in encoder.encode(texts)]
