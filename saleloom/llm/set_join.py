@@ -9,9 +9,10 @@ least t percent of either size, and each side misses at most (100 - t) percent o
 * A set size is small while its subsets cost less than scanning its inverted lists (``boundary``). Sets near the
   boundary list both kinds of keys, so that a pair across it is found by the prefix.
 
-Sets that are equal form one class. A list links its members to a hub, the member whose lists are longest, instead of
-to each other; verified links merge into components, and only pairs across components are formed from the lists
-afterwards. So a group of n near copies costs about n pairs, and yet no link between components is lost.
+Sets that are equal form one class. A list links its members to a hub, the member whose lists are longest, then to
+``HUBS`` members drawn by hash in each round, instead of to each other; verified links merge into components, and only
+pairs across components are formed from the lists afterwards. So n near copies that link cost about n pairs a hub, and
+no link between components is lost. Sizes, places and parity bits are compared inside the joins of the lists.
 
 ``link`` does the same for keys that others list (bands). It scans the rest by parts: shingles are dealt by hash to more
 parts than linked sets may differ in, so that linked sets agree in a whole part.
