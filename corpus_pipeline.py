@@ -62,7 +62,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents with their place in sequences of 2048 ids."""
-    return packing.pack_documents(docs, WORD_BPE, end_id=0, capacity=SEQUENCE_TOKENS)
+    return packing.pack_documents(docs, WORD_BPE, end_id=0, capacity=SEQUENCE_TOKENS, compact=True)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

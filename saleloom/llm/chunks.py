@@ -19,22 +19,56 @@ GLUED = "\x01"  # marks a chunk that follows a line feed or the start of the tex
 Encode = Callable[[Sequence[str]], Sequence[object]]
 TAILS = ",.;:!?"  # punctuation that is cut off behind a word where the tokenizer allows it
 _TAIL_ENDS = frozenset(TAILS)
+SLOT_BYTES = 48  # of a key and its value in ``Slots``, with two bytes for their sizes
 KEPT_CHARS = 64  # longer keys (texts without spaces) are encoded each time, so that entries bound the memory
 
 
+class Slots:
+    """A table of fixed size from keys to bytes: a key's hash names its slot, and the key put last has the slot.
+
+    An entry takes ``SLOT_BYTES``, a third of what it takes in a dict, so that the many keys which do not soon come
+    again are held cheaply. Keys are compared as a whole.
+    """
+
+    def __init__(self, slots: int):
+        self.slots = slots
+        self.table = bytearray(slots * SLOT_BYTES)  # its pages take memory when first written
+
+    def get(self, key: str) -> bytes | None:
+        raw, table = key.encode(), self.table
+        at = hash(key) % self.slots * SLOT_BYTES
+        if table[at] != len(raw) or not table.startswith(raw, at + 2):
+            return None
+        end = at + 2 + len(raw)
+        return bytes(table[end : end + table[at + 1]]) or None
+
+    def put(self, key: str, value: bytes | None) -> bool:
+        """False if there is no value or the entry is too long for a slot."""
+        raw = key.encode()
+        if not value or len(raw) + len(value) + 2 > SLOT_BYTES:
+            return False
+        entry = bytes((len(raw), len(value))) + raw + value
+        at = hash(key) % self.slots * SLOT_BYTES
+        self.table[at : at + len(entry)] = entry
+        return True
+
+
 class Memo:
     """Bounded map from chunk key to encoded value: two generations, the older is dropped when the newer is full.
 
     ``encode`` maps keys to values (None: the text must be encoded whole). If ``separable(a, b)`` says that a tokenizer
-    never joins the characters a and b, a word with punctuation behind it is looked up as word and punctuation.
+    never joins the characters a and b, a word with punctuation behind it is looked up as word and punctuation. With
+    ``slots`` (values must be bytes) a key goes to the generations when it comes again; before, it is in a table of
+    ``slots`` slots.
     """
 
     def __init__(self, encode: Encode, join: Callable[[list], object] | None = None,
-                 separable: Callable[[str, str], bool] | None = None, limit: int = 600_000):
+                 separable: Callable[[str, str], bool] | None = None, limit: int = 600_000, slots: int = 0):
         self.encode, self.join, self.separable, self.limit = encode, join, separable, limit
         self.new: dict[str, object] = {}
         self.old: dict[str, object] = {}
         self.tails: dict[str, object] = {}
+        self.slots = Slots(slots) if slots else None
 
     def _cut(self, key: str) -> str:
         base = key.rstrip(TAILS)
@@ -42,35 +76,54 @@ class Memo:
             return key
         return base
 
-    def _encode_cut(self, missing: list[str]) -> None:
+    def _in_slot(self, key: str) -> bool:
+        """Whether the key is in the table; it has come again then and moves to the generations."""
+        value = self.slots.get(key)
+        if value is not None:
+            self.new[key] = value
+        return value is not None
+
+    def _keep(self, found: dict[str, object]) -> None:
+        if self.slots:
+            put = self.slots.put
+            found = {key: value for key, value in found.items() if not put(key, value)}
+        self.new.update(found)
+
+    def _encode_cut(self, missing: list[str]) -> dict[str, object]:
         bases = [self._cut(key) if key[-1:] in _TAIL_ENDS else key for key in missing]
         cut = [(base, key) for base, key in zip(bases, missing, strict=True) if base is not key]
         tails = {key[len(base) :] for base, key in cut} - self.tails.keys()
         new, old = self.new, self.old
+        if self.slots:
+            for base, _ in cut:
+                if base not in new and base not in old:
+                    self._in_slot(base)
         wanted = [base for base in dict.fromkeys(bases) if base not in new and base not in old]
         values = self.encode([*wanted, *(GLUED + tail for tail in tails)])
-        new.update(zip(wanted, values, strict=False))
+        found = dict(zip(wanted, values, strict=False))
         self.tails.update(zip(tails, values[len(wanted) :], strict=True))
         for base, key in cut:
-            value = new[base] if base in new else old[base]
-            new[key] = None if value is None else self.join([value, self.tails[key[len(base) :]]])
+            value = found[base] if base in found else new[base] if base in new else old[base]
+            found[key] = None if value is None else self.join([value, self.tails[key[len(base) :]]])
+        return found
 
     def fill(self, wanted: Iterable[str]) -> dict[str, object]:
-        """Put the distinct keys ``wanted`` into ``new``; values of keys too long to be kept are returned instead."""
-        new, old, missing, passing = self.new, self.old, [], []
+        """Encode those of the distinct keys ``wanted`` that have no place; values that are not in ``new`` are returned."""
+        new, old, missing, passing, found = self.new, self.old, [], [], {}
         for key in wanted:
             if key not in new:
                 if key in old:
                     new[key] = old[key]
                 elif len(key) > KEPT_CHARS:
                     passing.append(key)
-                else:
+                elif not self.slots or not self._in_slot(key):
                     missing.append(key)
-        if missing and self.separable:
-            self._encode_cut(missing)
-        elif missing:
-            new.update(zip(missing, self.encode(missing), strict=True))
-        return dict(zip(passing, self.encode(passing), strict=True)) if passing else {}
+        if missing:
+            found = self._encode_cut(missing) if self.separable else dict(zip(missing, self.encode(missing), strict=True))
+            self._keep(found)
+        if passing:
+            found |= zip(passing, self.encode(passing), strict=True)
+        return found
 
     def look_up(self, texts: Sequence[Sequence[str] | None]) -> list[list[object] | None]:
         """Values of the keys of each text; None for a text without keys or with a key that has no value."""

@@ -13,24 +13,26 @@ from pyspark.sql import functions as F
 from saleloom.llm.chunks import slices
 from saleloom.llm.config_lp import Pattern, solve
 from saleloom.llm.library_ids import library_ids
-from saleloom.operators.work import freeze
+from saleloom.operators.work import ARROW_BYTES, freeze
 
+SLICE_ROWS = 64  # rows encoded at once: their chunks and ids are Python objects
 BUCKET_ROWS = 50_000  # pieces of one length are numbered in buckets of about so many rows
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col: str = "doc_id",
-               text_col: str = "text", spaces_matter: bool = False) -> DataFrame:
+               text_col: str = "text", spaces_matter: bool = False, compact: bool = False) -> DataFrame:
     """Encode every whole text, append ``end_id`` and cut it into pieces of at most ``capacity`` ids; stored once.
 
     Returns row_id long (one per input row), doc_id, piece int, start long, length long, ids binary (little-endian
     unsigned 32 bit). Null text counts as empty: one piece that holds the end id. Repeated rows are kept.
+    ``compact``: workers remember fewer chunks, for executors whose memory earlier steps have taken.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_ids(tokenizer, spaces_matter)
+        encoder = library_ids(tokenizer, spaces_matter, compact)
         end = np.array([end_id], dtype="<u4").tobytes()
         step = 4 * capacity
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE_ROWS):
             at, piece, start, length, ids = [], [], [], [], []
             for i, text_ids in enumerate(encoder.encode(batch.column(2).to_pylist())):
                 whole = np.frombuffer(text_ids, dtype=encoder.dtype).astype("<u4").tobytes() + end
@@ -50,7 +52,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_c
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).alias("doc_id"), text.alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
     schema = f"row_id long, doc_id {kind}, piece int, start long, length long, ids binary"
-    return freeze(rows.mapInArrow(cut, schema), "pieces")
+    return freeze(rows.mapInArrow(cut, schema), "pieces", ARROW_BYTES)
 
 
 def _slots(plan: dict[Pattern, int]) -> list[tuple[int, int, int, int, int, int]]:
@@ -102,12 +104,13 @@ def place(pieces: DataFrame, capacity: int, bucket_rows: int = BUCKET_ROWS) -> D
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
+                   text_col: str = "text", compact: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids, sequence_id long, offset long: one row per piece.
 
     Sequences hold at most ``capacity`` ids and are gapless from offset 0. Null and empty texts are packed as their end
-    id; null and repeated ids are kept; an empty table gives no rows; other columns are ignored.
+    id; null and repeated ids are kept; an empty table gives no rows; other columns are ignored. ``compact``: less memory
+    in the workers, more time (see ``cut_pieces``).
     """
-    pieces = cut_pieces(docs, tokenizer, end_id, capacity, id_col, text_col)
+    pieces = cut_pieces(docs, tokenizer, end_id, capacity, id_col, text_col, compact=compact)
     placed = place(pieces.select("row_id", "piece", "length"), capacity)
     return pieces.join(placed.drop("length"), ["row_id", "piece"]).drop("row_id")

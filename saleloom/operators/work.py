@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+ARROW_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+ARROW_BYTES = 7 << 20  # for whole texts: a batch is held several times on its way to the Python worker
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -22,13 +24,22 @@ def work_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
-def freeze(df: DataFrame, name: str) -> DataFrame:
+def freeze(df: DataFrame, name: str, arrow_bytes: int | None = None) -> DataFrame:
     """Write ``df`` once as Parquet and read it back.
 
     This cuts the lineage, survives the loss of executors, and fixes values that another evaluation
-    could produce differently (partition numbers). Readers still prune columns.
+    could produce differently (partition numbers). Readers still prune columns. With ``arrow_bytes`` the Python workers
+    of this write get Arrow batches of about so many bytes.
     """
     spark = df.sparkSession
     path = f"{work_folder(spark)}/saleloom/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    if arrow_bytes is None:
+        df.write.parquet(path)
+    else:
+        usual = spark.conf.get(ARROW_SETTING)
+        spark.conf.set(ARROW_SETTING, str(arrow_bytes))
+        try:
+            df.write.parquet(path)
+        finally:
+            spark.conf.set(ARROW_SETTING, usual)
     return spark.read.schema(df.schema).parquet(path)

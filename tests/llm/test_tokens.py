@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -13,11 +14,13 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from saleloom.llm import library_ids, packing, piece_codec, token_counts, token_ids
+from saleloom.llm.chunks import SLOT_BYTES, Slots
 from saleloom.llm.config_lp import solve
 from saleloom.llm.elias_fano import EliasFano
-from saleloom.llm.library_ids import LibraryIds
+from saleloom.llm.library_ids import COMPACT_KEYS, LibraryIds
 from saleloom.llm.piece_model import PieceChunks, PieceModel
 from saleloom.llm.queries import BYTE_BPE, PIECE_BPE, WORD_BPE
+from saleloom.operators import work
 from tests.llm.conftest import TEXTS
 
 LETTERS = "aabbthe  \n\n\t▁éßñ漢😀́ .,!1\x01\x00\x1c's"
@@ -192,3 +195,54 @@ def test_other_tokenizers_keep_the_whole_library():
     assert library_ids.letters_model(spec, True) is None
     assert library_ids.letters_model(spec | {"normalizer": {"type": "StripAccents"}}, False) is None
     assert library_ids.letters_model(spec | {"pre_tokenizer": {"type": "Whitespace"}}, False) is None
+
+
+@pytest.mark.parametrize(("path", "spaces"), [(BYTE_BPE, True), (WORD_BPE, False)])
+def test_compact_memo_changes_nothing(path, spaces):
+    coder, library, texts = LibraryIds(path, spaces, compact=True), Tokenizer.from_file(path), _odd_texts()
+    coder.memo.slots = Slots(97)  # so that keys meet in a slot
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for limit in (COMPACT_KEYS, 5):
+        coder.memo.limit = limit
+        for step in (len(texts), 1, 7):
+            parts = [texts[i : i + step] for i in range(0, len(texts), step)]
+            assert [np.frombuffer(x, dtype=coder.dtype).tolist() for part in parts for x in coder.encode(part)] == want
+
+
+def test_slots_hold_the_last_key():
+    slots = Slots(1)
+    assert slots.get("") is None
+    assert slots.put("worté", b"\x01\x00")
+    assert slots.get("worté") == b"\x01\x00"
+    assert slots.get("wort") is None
+    assert slots.put("wort", b"\x02\x00\x03\x00")
+    assert (slots.get("wort"), slots.get("worté")) == (b"\x02\x00\x03\x00", None)
+    assert not slots.put("x", None)
+    assert not slots.put("x" * SLOT_BYTES, b"\x01\x00")
+
+
+def test_compact_memo_keeps_words_that_do_not_return_out_of_the_dicts():
+    words = ["".join(random.Random(i).choices("abcdefgh", k=9)) for i in range(30_000)]
+    usual, compact = LibraryIds(WORD_BPE, False), LibraryIds(WORD_BPE, False, compact=True)
+    texts = [" ".join(words[i : i + 500]) for i in range(0, len(words), 500)]
+    assert compact.encode(texts) == usual.encode(texts)
+    assert len(compact.memo.new) <= 60  # of each text only the first word, which no space stands before, may be long
+    assert len(usual.memo.new) >= 29_000
+    assert len(compact.memo.slots.table) == SLOT_BYTES * library_ids.COMPACT_SLOTS
+
+
+def test_pieces_get_small_arrow_batches(spark, monkeypatch):
+    sizes, setting = [], "spark.sql.execution.arrow.maxBytesPerBatch"
+    usual = spark.conf.get(setting)
+    monkeypatch.setattr(packing, "freeze", lambda df, name, arrow_bytes=None: sizes.append(arrow_bytes) or work.freeze(df, name, arrow_bytes))
+    docs = spark.range(20, numPartitions=1).selectExpr("id AS doc_id", "repeat('x ', 500000) AS text")
+    assert packing.cut_pieces(docs, WORD_BPE, 0, 2048).select("doc_id").distinct().count() == 20
+    assert sizes == [work.ARROW_BYTES]
+    assert spark.conf.get(setting) == usual
+
+    def rows_of(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    found = work.freeze(docs.mapInArrow(rows_of, "n long"), "sizes", work.ARROW_BYTES)
+    assert max(r.n for r in found.collect()) <= work.ARROW_BYTES // 1_000_000 + 1
