@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from saleloom.llm.chunks import slices
 from saleloom.llm.shingles import word_hashes
-from saleloom.operators.work import freeze
+from saleloom.operators.work import ARROW_BYTES, freeze
 
 LABELLED = 20_000  # bound of the labelled sample that the model is fitted on
 BROADCAST_SITES = 200_000  # the table of paths is broadcast up to so many rows
@@ -185,5 +185,5 @@ def score(docs: DataFrame, model: dict, host: Column, path: Column, text_col: st
     """
     wordless = ~F.coalesce(F.col(text_col).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     marked = docs.withColumn("__wordless", wordless)
-    found = combine(freeze(with_evidence(marked, model, text_col), "evidence"), model["prior"], host, path, threshold)
+    found = combine(freeze(with_evidence(marked, model, text_col), "evidence", ARROW_BYTES), model["prior"], host, path, threshold)
     return found.withColumn("keep", F.col("keep") & ~F.col("__wordless")).drop("__wordless")

@@ -28,9 +28,9 @@ from saleloom.llm.shingles import mix, shingle_hashes
 from saleloom.operators.work import freeze
 
 NAME_BITS = 48
-BUCKET_SHINGLES = 2_000_000
+BUCKET_SHINGLES = 1_000_000
 HEAD_SHARE = 100
-SLICE_ROWS, SLICE_BYTES = 4096, 8 << 20
+SLICE_ROWS, SLICE_BYTES = 4096, 4 << 20  # arrays of a slice take some 20 bytes for each byte of text
 HASHED_BYTES = 1 << 20
 LEAST_SETS = 16  # sets of a slice that hold a shingle before it is reported as frequent
 _SHIFT = np.uint64(64 - NAME_BITS)
@@ -126,8 +126,10 @@ def _count(buckets: int):
             names.append(high << np.uint64(32) | low)
             classes.append(listed.values.to_numpy()[owners])
         name, owner = np.concatenate(names), np.concatenate(classes)
+        del names, classes
         order = np.lexsort((owner, name))
         name, owner = name[order], owner[order]
+        del order
         new = np.append(True, name[1:] != name[:-1])
         first = new | np.append(True, owner[1:] != owner[:-1])
         name, owner = name[first], owner[first]

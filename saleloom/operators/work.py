@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 ARROW_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
-ARROW_BYTES = 7 << 20  # for whole texts: a batch is held several times on its way to the Python worker
+ARROW_BYTES = 7 << 19  # for whole texts: a batch is held several times on its way to the Python worker
 
 
 def work_folder(spark: SparkSession) -> str:

@@ -241,3 +241,16 @@ def test_candidates_leave_out_sets_that_differ_too_much(spark):
     rows = [(n, 7, 0, 100, n, set_join._parity(s).tolist()) for n, s in enumerate(sets)]
     lists = spark.createDataFrame(rows, "class long, key long, place long, n_shingles long, label long, parity array<long>")
     assert [tuple(r) for r in set_join._candidates(lists, 85).collect()] == [(0, 40)]
+
+
+def test_a_full_bucket_is_counted_in_little_memory():
+    n, row = rare_lists.BUCKET_SHINGLES, 10_000
+    draw = np.random.default_rng(4)
+    rows = [(0, draw.bytes(6 * row), (np.arange(row, dtype=np.uint32) // 500).tobytes(), list(range(i, i + 20))) for i in range(0, n, row)]
+    columns = dict(zip(("bucket", "names", "owners", "classes"), map(list, zip(*rows, strict=True)), strict=True))
+    table = pa.table(columns)
+    tracemalloc.start()
+    rare_lists._count(1)(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 90e6, peak
