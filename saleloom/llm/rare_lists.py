@@ -30,7 +30,7 @@ from saleloom.operators.work import freeze
 NAME_BITS = 48
 BUCKET_SHINGLES = 1_000_000
 HEAD_SHARE = 100
-SLICE_ROWS, SLICE_BYTES = 4096, 4 << 20  # arrays of a slice take some 20 bytes for each byte of text
+SLICE_ROWS, SLICE_BYTES = 4096, 4 << 20
 HASHED_BYTES = 1 << 20
 LEAST_SETS = 16  # sets of a slice that hold a shingle before it is reported as frequent
 _SHIFT = np.uint64(64 - NAME_BITS)
