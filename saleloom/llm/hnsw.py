@@ -1,27 +1,31 @@
 """Approximate nearest neighbours: one navigable small-world graph per shard, shard results merged.
 
 Equal vectors are indexed once. The distinct vectors are dealt to shards by hash; a task builds each shard's
-hierarchical graph and stores it as flat arrays (vectors, neighbours, levels). Queries are packed in blocks, each block
-meets each shard once, and the nearest of all shards are merged and expanded to the rows that own the vectors.
+hierarchical graph and stores it as flat arrays (vectors, neighbours, levels). Queries are packed in blocks and broadcast
+in portions to the tasks that hold the shards; each block meets each shard once and is scored there. The nearest of all
+shards are merged and expanded to the rows that own the vectors.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from saleloom.operators.work import freeze
+from saleloom.operators.work import ARROW_BYTES, freeze
 
 M = 16  # neighbours of a node on the upper levels; twice as many on the lowest
 BUILD_WIDTH = 100  # candidates kept while a node is put in
 SEARCH_WIDTH = 160  # candidates kept while a query is searched
 SHARD_ROWS = 4096  # vectors of a shard
-QUERY_BLOCK = 256  # queries that are searched together
+QUERY_BLOCK = 4096  # queries of a block at most; of fewer, if there are too few shards for all cores
+PORTION_BYTES = 32 * 1024 * 1024  # of query vectors that are broadcast at a time
+SCORED = 256  # queries whose scores are computed together
 
 
 class Graph:
@@ -182,29 +186,66 @@ def _graph(row: dict) -> tuple[np.ndarray, Graph]:
     return keys, Graph(vectors, links, row["entry"])
 
 
+def _scores(graph: Graph, asked: np.ndarray, found: list[np.ndarray]) -> np.ndarray:
+    """Euclidean distances of each query to its nodes; squares are added in the order of the components."""
+    near = [np.empty(0)]
+    for first in range(0, len(found), SCORED):
+        nodes = found[first : first + SCORED]
+        owner = np.repeat(np.arange(first, first + len(nodes)), [len(x) for x in nodes])
+        apart = asked[owner] - graph.vectors[np.concatenate(nodes)]
+        total = np.zeros(len(owner))
+        for square in (apart * apart).T:
+            total += square
+        near.append(np.sqrt(total))
+    return np.concatenate(near)
+
+
+def _search_batches(batches: Iterator[pa.RecordBatch], k: int, width: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a shard with a block of queries: the nearest keys of each query, and their scores."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.drop_columns(["ids", "asked"]).slice(i, 1).to_pylist()[0]
+            keys, graph = _graph(row)
+            ids, asked = batch["ids"][i].values.to_numpy(), _rows(batch["asked"][i].values)
+            seen = np.full(len(keys), -1, dtype=np.int64)
+            found = [graph.search(query, min(k, len(keys)), width, seen, mark) for mark, query in enumerate(asked)]
+            columns = [pa.array(np.repeat(ids, [len(x) for x in found])), pa.array(keys[np.concatenate(found)]), pa.array(_scores(graph, asked, found))]
+            yield pa.RecordBatch.from_arrays(columns, ["query_id", "key", "score"])
+
+
 def search_index(index: DataFrame, queries: DataFrame, k: int, width: int = SEARCH_WIDTH) -> DataFrame:
-    """(query_id, key): about the ``k`` nearest keys of every shard for each query (query_id long, vector array<double>)."""
-    shards = index.count()
-    blocks = max(1, math.ceil(queries.count() / QUERY_BLOCK))
-    packed = queries.groupBy(F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("block")).agg(
-        F.collect_list(F.struct("query_id", "vector")).alias("asked"))
-    met = packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(max(shards, 1) - 1)))).join(index, "shard")
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                keys, graph = _graph(row)
-                seen = np.full(len(keys), -1, dtype=np.int64)
-                ids, found = [], []
-                for mark, asked in enumerate(row["asked"]):
-                    near = graph.search(np.array(asked["vector"], dtype=np.float64), min(k, len(keys)), width, seen, mark)
-                    ids += [asked["query_id"]] * len(near)
-                    found.append(keys[near])
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.concatenate(found))], ["query_id", "key"])
-
-    tasks = max(1, min(shards * blocks, 4 * int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    return met.repartition(tasks, "shard", "block").mapInArrow(search, "query_id long, key long")
+    """(query_id, key, score): about the ``k`` nearest keys of every shard for each query (query_id long, vector array<double>).
+
+    Graphs are shuffled once for all queries; only where shards are fewer than three a core they are repeated, so that all
+    cores have work. A portion of queries is broadcast at a time, and its result is stored, ``k`` rows a query and task:
+    what is joined to it later never waits for the search.
+    """
+    spark = index.sparkSession
+    shards, asked = index.count(), queries.count()
+    if not shards or not asked:
+        return queries.select("query_id", F.lit(0).cast("long").alias("key"), F.lit(0.0).alias("score")).limit(0)
+    dim = index.agg(F.max("dim")).first()[0]
+    copies = min(math.ceil(3 * spark.sparkContext.defaultParallelism / shards), math.ceil(asked / SCORED))
+    portions = math.ceil(asked * (8 * dim + 24) / PORTION_BYTES)
+    blocks = max(copies, math.ceil(asked / portions / QUERY_BLOCK))
+    tasks = min(shards * copies, max(shards, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    held = index.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).repartition(tasks, "shard", "copy")
+    place = F.pmod(F.xxhash64("query_id"), F.lit(portions * blocks)).cast("int")
+    parts = []
+    for portion in range(portions):
+        mine = queries.withColumn("place", place).where(F.col("place") % portions == portion)
+        packed = mine.groupBy(F.expr(f"CAST(place DIV {portions} AS INT)").alias("block")).agg(F.collect_list(F.struct("query_id", "vector")).alias("all"))
+        packed = freeze(packed.select("block", F.col("all.query_id").alias("ids"), F.col("all.vector").alias("asked")), "blocks")
+        met = held.join(F.broadcast(packed), F.col("copy") == F.col("block") % copies).drop("copy", "block")
+        found = met.mapInArrow(lambda batches: _search_batches(batches, k, width), "query_id long, key long, score double")
+        parts.append(freeze(_nearest_of(found, k), "found", ARROW_BYTES))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _nearest_of(found: DataFrame, k: int) -> DataFrame:
+    """The ``k`` nearest keys of each query."""
+    order = Window.partitionBy("query_id").orderBy("score", "key")
+    return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).drop("place")
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -232,15 +273,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     queries = freeze(rows.where(F.coalesce("asks", F.lit(False))).select(F.col("vec_id").alias("query_id"), "vector").distinct(), "queries")
 
     index = build_index(distinct.select("key", "vector"))
-    found = search_index(index, queries, k + 1)
-    heads = distinct.select("key", F.col("vector").alias("of"))
-    measured = found.join(queries, "query_id").join(heads, "key")
-    terms = F.zip_with("vector", "of", lambda a, b: (a - b) * (a - b))
-    score = F.sqrt(F.aggregate(terms, F.lit(0.0), lambda s, x: s + x))
-    measured = measured.select("query_id", "key", score.alias("score"))
     # The k + 1 nearest distinct vectors of all shards hold the k nearest rows besides the query's own.
-    merged = Window.partitionBy("query_id").orderBy("score", "key")
-    merged = measured.withColumn("place", F.row_number().over(merged)).where(F.col("place") <= k + 1)
+    merged = search_index(index, queries, k + 1)
     members = owners.join(distinct, "vector").select("key", "vec_id")
     named = merged.join(members, "key").where("vec_id <> query_id")
     final = Window.partitionBy("query_id").orderBy("score", "vec_id")

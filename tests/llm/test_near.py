@@ -195,6 +195,24 @@ def test_neighbours_of_odd_vectors(spark):
     assert hnsw.nearest(df.where("false"), F.lit(True)).count() == 0
 
 
+def test_queries_meet_many_shards_in_stored_portions(spark, monkeypatch):
+    """No join or broadcast holds queries x shards: each portion's result is stored, with k rows a query."""
+    monkeypatch.setattr(hnsw, "QUERY_BLOCK", 16)
+    monkeypatch.setattr(hnsw, "PORTION_BYTES", 10_000)
+    vectors = np.random.default_rng(5).normal(size=(200, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "key long, vector array<double>")
+    index = hnsw.build_index(df, shard_rows=8)
+    assert index.count() > 10
+    found = hnsw.search_index(index, df.withColumnRenamed("key", "query_id"), 3)
+    files = {f.split("/saleloom/")[1].split("/")[0] for f in found.inputFiles()}
+    assert len(files) == 2 and all(f.startswith("found-") for f in files)
+    score = np.sqrt(((vectors[:, None] - vectors) ** 2).sum(axis=2))
+    want = {(q, k) for q in range(200) for k in np.argsort(score[q])[:3].tolist()}
+    rows = found.collect()
+    assert len(rows) == 600 and {(r.query_id, r.key) for r in rows} == want
+    assert np.allclose([r.score for r in rows], [score[r.query_id, r.key] for r in rows])
+
+
 def test_shingles_of_a_slice_are_hashed_in_portions():
     texts = pa.array([prose(n % 50, 400) for n in range(2000)] + ["", "one", prose(1, 400_000)])
     assert texts.nbytes > 7 << 20
