@@ -164,6 +164,12 @@ def _historical(spark, folder, flag=False, ingest=False):
     return clean_historical(tables.raw_historical(spark, folder, ingest=ingest), flag=flag)
 
 
+def _portions(spark, folder):
+    """Both raw sources in portions of the orders."""
+    parts = list(tables.portions(spark, folder))
+    return [tables.raw_historical(spark, folder, portion=p) for p in parts], [tables.raw_current(spark, folder, portion=p) for p in parts]
+
+
 @query
 def cost_latest(spark, folder):
     return _cost(spark, folder)
@@ -183,7 +189,8 @@ def cost_match_rate(spark, folder):
 @query
 def unified_sales(spark, folder):
     """All 38 columns of the unified table, duplicate flags included."""
-    return unify_sales(_historical(spark, folder, True), _current(spark, folder, True))
+    historical, current = _portions(spark, folder)
+    return unify_sales(clean_historical(historical), clean_current(current, _cost(spark, folder)))
 
 
 @query

@@ -5,7 +5,8 @@ The select lists are plain SQL that Spark and DuckDB read alike; the reference S
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import math
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +70,8 @@ NEEDS = {"region": ("nation",), "nation": ("customer",), "customer": ("orders",)
 
 SMALL_LOOKUP_BYTES = 8 * 1024 * 1024  # stored bytes, compressed, up to which a table is broadcast to the lines or orders
 
+PORTION_BYTES = 512 * 1024 * 1024  # stored bytes of lines that are joined at a time where the sources are stored in portions
+
 # Measures that the view derives itself, with the columns they come from.
 DERIVED_FROM = ("net_revenue", "profit", "quantity", "discount", "gross_sales", "return_value", "unit_cost", "total_cost")
 
@@ -179,12 +182,14 @@ def _small(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def _lines(
-    spark: SparkSession, folder: str, sql: Iterable[str], spread: bool = False, ingest: bool = False, where: str | None = None
+    spark: SparkSession, folder: str, sql: Iterable[str], spread: bool = False, ingest: bool = False, where: str | None = None,
+    portion: tuple[int, int] = (0, 1),
 ) -> DataFrame:
     """Line items joined to just the tables that the select list mentions; ``ingest`` numbers them in file order.
 
     Orders meet customers, nations and regions before the lines meet them, so that lines are shuffled for orders and parts
     alone. With a condition ``where`` on the orders these come first, else the parts, whose columns are narrower.
+    ``portion`` (n, of) takes the n-th of so many portions of the orders, with their lines.
     """
     path = f"{folder}/lineitem.parquet"
     lines = number_rows(placed(read_table(spark, path, row_order=True), ROW_ORDER)) if ingest else read(spark, folder, "lineitem")
@@ -192,6 +197,8 @@ def _lines(
         lines = spread_small(lines, path)
     needed = _needed([*sql, *([where] if where else [])])
     orders = read(spark, folder, "orders").where(where) if where else read(spark, folder, "orders")
+    if portion[1] > 1:
+        lines, orders = (df.where(f"pmod(xxhash64(CAST({k} AS LONG)), {portion[1]}) = {portion[0]}") for df, k in ((lines, "l_orderkey"), (orders, "o_orderkey")))
     for table in ("customer", "nation", "region"):
         if table in needed:
             left, right = JOINS[table][1].split(" = ")
@@ -233,20 +240,30 @@ def _twice(lines: DataFrame) -> DataFrame:
     return lines.selectExpr("*", f"explode(sequence(1, CASE WHEN {SENT_TWICE} THEN 2 ELSE 1 END)) AS copy")
 
 
-def raw_historical(spark: SparkSession, folder: str, columns: Iterable[str] | None = None, ingest: bool = False) -> DataFrame:
+def raw_historical(
+    spark: SparkSession, folder: str, columns: Iterable[str] | None = None, ingest: bool = False, portion: tuple[int, int] = (0, 1)
+) -> DataFrame:
     names = list(columns or schemas.columns(schemas.HISTORICAL))
     sql = [f"{RAW_HISTORICAL[c]} AS {c}" for c in names]
-    lines = _lines(spark, folder, sql, spread=True, ingest=ingest, where=HISTORY)
+    lines = _lines(spark, folder, sql, spread=True, ingest=ingest, where=HISTORY, portion=portion)
     return _twice(lines).selectExpr(*sql, *(COPY_POSITION if ingest else ()))
 
 
-def raw_current(spark: SparkSession, folder: str, columns: Iterable[str] | None = None, ingest: bool = False) -> DataFrame:
+def raw_current(
+    spark: SparkSession, folder: str, columns: Iterable[str] | None = None, ingest: bool = False, portion: tuple[int, int] = (0, 1)
+) -> DataFrame:
     names = list(columns or schemas.columns(schemas.CURRENT))
     sql = [f"{RAW_CURRENT[c]} AS {c}" for c in names]
-    lines = _lines(spark, folder, sql, spread=True, ingest=ingest, where=f"NOT ({HISTORY})")
+    lines = _lines(spark, folder, sql, spread=True, ingest=ingest, where=f"NOT ({HISTORY})", portion=portion)
     return _twice(lines).selectExpr(*sql, *(COPY_POSITION if ingest else ()))
 
 
+def portions(spark: SparkSession, folder: str) -> Iterator[tuple[int, int]]:
+    """The portions of orders in which the lines are joined, of ``PORTION_BYTES`` of stored lines each; one if these are few."""
+    count = max(1, math.ceil(size(spark, f"{folder}/lineitem.parquet") / PORTION_BYTES))
+    return ((n, count) for n in range(count))
+
+
 def raw_cost(spark: SparkSession, folder: str) -> DataFrame:
     parts = read(spark, folder, "part").where("p_type <> 'PROMO'").selectExpr("*", "explode(array(1, 2)) AS version")
     return parts.selectExpr(*[f"{sql} AS {c}" for c, sql in RAW_COST.items()])

@@ -69,7 +69,7 @@ def split_by_hash(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     hash_ = F.col(_HASH[0])
     again = rows.groupBy(hash_).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(hash_)
     word, bit = hash_.bitwiseAND(F.lit(_WORDS - 1)), F.expr(f"shiftleft(1L, CAST(shiftright({_HASH[0]}, {_WORD_BITS}) & 63 AS INT))")
-    words = freeze(again.groupBy(word.alias("__word")).agg(F.bit_or(bit).alias("__bits")), "hashes")
+    words = freeze(again.groupBy(word.alias("__word")).agg(F.bit_or(bit).alias("__bits")), "hashes", compact=True)
     marked = rows.join(F.broadcast(words), word == F.col("__word"), "left")
     found = F.coalesce(F.col("__bits").bitwiseAND(bit) != 0, F.lit(False))
     return marked.where(found).select(*rows.columns), marked.where(~found).select(*rows.columns)

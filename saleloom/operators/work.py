@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 ARROW_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 ARROW_BYTES = 7 << 19  # for whole texts: a batch is held several times on its way to the Python worker
 
 
@@ -24,22 +25,25 @@ def work_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
-def freeze(df: DataFrame, name: str, arrow_bytes: int | None = None) -> DataFrame:
+def freeze(df: DataFrame, name: str, arrow_bytes: int | None = None, compact: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet and read it back.
 
     This cuts the lineage, survives the loss of executors, and fixes values that another evaluation
     could produce differently (partition numbers). Readers still prune columns. With ``arrow_bytes`` the Python workers
-    of this write get Arrow batches of about so many bytes.
+    of this write get Arrow batches of about so many bytes. ``compact`` is for tables that would fill the disk: they are
+    stored with zstd, and the shuffle files of the write go when it is done, not when the driver next collects garbage.
     """
     spark = df.sparkSession
     path = f"{work_folder(spark)}/saleloom/{name}-{uuid.uuid4().hex}"
-    if arrow_bytes is None:
-        df.write.parquet(path)
-    else:
-        usual = spark.conf.get(ARROW_SETTING)
-        spark.conf.set(ARROW_SETTING, str(arrow_bytes))
-        try:
-            df.write.parquet(path)
-        finally:
-            spark.conf.set(ARROW_SETTING, usual)
+    wanted = {} if arrow_bytes is None else {ARROW_SETTING: str(arrow_bytes)}
+    if compact:
+        wanted[CLEANUP_SETTING] = "true"
+    usual = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        (df.write.option("compression", "zstd") if compact else df.write).parquet(path)
+    finally:
+        for k, v in usual.items():
+            spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)

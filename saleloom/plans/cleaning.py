@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from saleloom.operators.columns import require
 from saleloom.operators.dedup import flag_duplicates, flag_later_copies, keep_last
 from saleloom.operators.joins import lookup_join
 from saleloom.operators.keys import INGEST
+from saleloom.operators.work import freeze
 
 ROW_ORDER = "row_order"
 
@@ -37,14 +39,23 @@ def _labelled(df: DataFrame, vocabularies: Mapping[str, Mapping[str, str]]) -> D
     return df.withColumns({c: map_labels(F.col(c), v, cleaned=True) for c, v in vocabularies.items()})
 
 
-def _flagged(df: DataFrame, flag: bool) -> DataFrame:
+def _parsed(raw: DataFrame | Sequence[DataFrame], parse: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, bool]:
+    """The parsed source, and whether it is stored: one that comes in portions is, one portion at a time."""
+    if isinstance(raw, DataFrame):
+        return parse(raw), False
+    if len(raw) == 1:
+        return parse(raw[0]), False
+    return reduce(DataFrame.unionByName, [freeze(parse(df), "parsed", compact=True) for df in raw]), True
+
+
+def _flagged(df: DataFrame, flag: bool, stored: bool = False) -> DataFrame:
     """With a position in the input all copies but the first are flagged; without one, any of them stays unflagged.
 
     Flags are set on the source's own columns, before others are derived from them: these are equal where those are.
     """
     if not flag:
         return df.withColumn("is_duplicate", F.lit(False))
-    return flag_later_copies(df, INGEST) if INGEST in df.columns else flag_duplicates(df)
+    return flag_later_copies(df, INGEST) if INGEST in df.columns else flag_duplicates(df, stored=stored)
 
 
 def _flag_last(df: DataFrame) -> DataFrame:
@@ -56,7 +67,7 @@ def _carried(raw: DataFrame) -> list[str]:
 
 
 def clean_historical(
-    raw: DataFrame,
+    raw: DataFrame | Sequence[DataFrame],
     *,
     channels: Mapping[str, str] = vocab.CHANNELS,
     product_groups: Mapping[str, str] = vocab.PRODUCT_GROUPS,
@@ -68,20 +79,19 @@ def clean_historical(
     """Historical sales: cost is not known here, so cost columns stay NULL and profit is as given.
 
     The derived month replaces the source's own month column. Without ``flag`` the duplicate flag, and
-    its shuffle of rows, is left out.
+    its shuffle of rows, is left out. A source that does not fit the disk several times over is given as portions: each
+    is parsed and stored before the next, and only rows whose hash occurs again are shuffled for the flag.
     """
-    labelled = _labelled(
-        typed(raw, schemas.HISTORICAL, date_formats, _carried(raw)),
-        {
-            "channel": channels,
-            "product_group": product_groups,
-            "customer_group": customer_groups,
-            "returned": returned,
-        },
-    )
+    vocabularies = {
+        "channel": channels,
+        "product_group": product_groups,
+        "customer_group": customer_groups,
+        "returned": returned,
+    }
+    labelled, stored = _parsed(raw, lambda df: _labelled(typed(df, schemas.HISTORICAL, date_formats, _carried(df)), vocabularies))
     unknown = F.lit(None).cast("double")
     return _flag_last(
-        _flagged(labelled, flag).withColumns(
+        _flagged(labelled, flag, stored).withColumns(
             {
                 **date_parts(F.col("doc_date")),
                 "period": F.lit(vocab.PERIOD_BEFORE),
@@ -122,7 +132,7 @@ def enrich_cost(sales: DataFrame, cost: DataFrame) -> DataFrame:
 
 
 def clean_current(
-    raw: DataFrame,
+    raw: DataFrame | Sequence[DataFrame],
     cost: DataFrame,
     *,
     channels: Mapping[str, str] = vocab.CHANNELS,
@@ -131,12 +141,10 @@ def clean_current(
     date_formats: Sequence[str] = DATE_FORMATS,
     flag: bool = True,
 ) -> DataFrame:
-    """Current sales with date parts, cost, profit, flags and provenance."""
-    labelled = _labelled(
-        typed(raw, schemas.CURRENT, date_formats, _carried(raw)),
-        {"channel": channels, "product_group": product_groups, "customer_group": customer_groups},
-    )
-    dated = _flagged(labelled, flag).withColumns(date_parts(F.col("doc_date")))
+    """Current sales with date parts, cost, profit, flags and provenance. Portions as in ``clean_historical``."""
+    vocabularies = {"channel": channels, "product_group": product_groups, "customer_group": customer_groups}
+    labelled, stored = _parsed(raw, lambda df: _labelled(typed(df, schemas.CURRENT, date_formats, _carried(df)), vocabularies))
+    dated = _flagged(labelled, flag, stored).withColumns(date_parts(F.col("doc_date")))
     return _flag_last(
         enrich_cost(dated, cost).withColumns(
             {"period": F.lit(vocab.PERIOD_AFTER), "data_source": F.lit(vocab.SOURCE_CURRENT)}
