@@ -128,3 +128,24 @@ def test_sales_in_portions_are_the_same(spark, odd_tables, monkeypatch):
     files = "".join(found.inputFiles())
     assert "/parsed-" in files and "lineitem" not in files
     assert sorted(map(str, found.collect())) == want
+
+
+def test_overview_of_portions_is_the_same(spark, odd_tables, monkeypatch):
+    """Neither raw nor historical sales are stored at full width; both are made of the stored lines or parsed rows."""
+    want = sorted(queries.QUERIES["quality_overview"](spark, odd_tables).collect())
+    monkeypatch.setattr(tables, "PORTION_BYTES", 40_000)
+    found = queries.QUERIES["quality_overview"](spark, odd_tables)
+    files = "".join(found.inputFiles())
+    assert "/lines-" in files and "/parsed-" in files and "/raw-" not in files and "/historical-" not in files
+    assert sorted(found.collect()) == want
+
+
+def test_copies_are_counted_in_passes(spark, monkeypatch):
+    df = spark.createDataFrame([(i % 70, None if i % 7 == 0 else "t") for i in range(100)] + [(1000 + i, "x") for i in range(50)], "k int, t string")
+    want = df.count() - df.distinct().count()
+    stored, freeze = [], dedup.freeze
+    monkeypatch.setattr(dedup, "freeze", lambda df, name, **more: stored.append(name) or freeze(df, name, **more))
+    monkeypatch.setattr(dedup, "COMPARED", 10)
+    assert want > 10 and dedup.count_copies(df, df.columns) == want
+    assert stored.count("again") > 1
+    assert dedup.count_copies(df.where("k < 0"), df.columns) == 0
