@@ -35,7 +35,7 @@ from saleloom.llm.chunks import slices
 from saleloom.llm.components import components
 from saleloom.llm.rare_lists import SLICE_BYTES, SLICE_ROWS, flat_sets, frequent_names, name_counts, rare_lists, set_classes
 from saleloom.llm.shingles import mix, shingle_sets
-from saleloom.operators.work import ARROW_BYTES, freeze
+from saleloom.operators.work import freeze, freeze_texts
 
 SCAN_ROWS = 8  # rows of an inverted list that are scanned for one prefix shingle, for the cost of the boundary
 HUB_ROUNDS = 2  # of ``link``: the first on the listed keys, the others on parts
@@ -319,7 +319,7 @@ def link_components(docs: DataFrame, width: int = 4, percent: int = 85, id_col:
     texts = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
     small = boundary(percent)
     smallest = needed(small + 1, percent)
-    sketch = freeze(_sketch(texts, width, percent, small), "sketch", ARROW_BYTES)
+    sketch = freeze_texts(_sketch(texts, width, percent, small), "sketch")
     known = sketch.where("class is not null")
     sizes = known.groupBy("class").agg(F.first("n_shingles").alias("n_shingles"), F.first("n_names").alias("n_names"),
                                        F.min("doc_id").alias("doc_id"))
@@ -328,13 +328,13 @@ def link_components(docs: DataFrame, width: int = 4, percent: int = 85, id_col:
     subsets = known.select("class", F.explode("keys").alias("key"), F.lit(0).cast("long").alias("place"), "n_shingles").distinct()
     frequent = sketch.select(F.inline("frequent"))
     lists = rare_lists(texts, sizes, frequent, width, percent, smallest).union(subsets)
-    lists = freeze(lists, "lists", ARROW_BYTES)
+    lists = freeze_texts(lists, "lists")
     shared = freeze(lists.join(_shared(lists), "key", "left_semi"), "shared")
     spread = shared.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
     weight = shared.join(spread, "key").groupBy("class").agg(F.avg("members").alias("weight"))
     weight = freeze(weight, "weight")
     wanted = freeze(sizes.join(weight, "class", "left_semi").select("class", "doc_id"), "wanted")
-    sets = freeze(_sets_of(texts, wanted, width, percent, False).select("class", "items", "parity"), "sets", ARROW_BYTES)
+    sets = freeze_texts(_sets_of(texts, wanted, width, percent, False).select("class", "items", "parity"), "sets")
 
     labelled = shared.join(weight, "class").withColumn("label", F.col("class"))
     pairs = freeze(_close(_hub_pairs(labelled, sizes, percent), sets, percent), "pairs")

@@ -47,3 +47,8 @@ def freeze(df: DataFrame, name: str, arrow_bytes: int | None = None, compact: bo
         for k, v in usual.items():
             spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def freeze_texts(df: DataFrame, name: str) -> DataFrame:
+    """``freeze`` for steps whose Python workers get whole texts, in Arrow batches of ``ARROW_BYTES``."""
+    return freeze(df, name, ARROW_BYTES)
